@@ -42,7 +42,11 @@ def trips_from_star(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus")
     od = orders.select("o_orderkey", "o_orderdate")
-    j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+    # Both sides are fact-sized at scale: a sort-merge join on the order key
+    # (co-partitioned shuffle, spills instead of failing). The hint keeps the
+    # same plan on small inputs too, which also spreads the per-row work of
+    # a single-row-group file over all shuffle partitions.
+    j = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey, "inner")
 
     secs = _secs_of_day()
     pickup = F.timestamp_add("SECOND", secs, F.col("o_orderdate"))

@@ -33,36 +33,51 @@ PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
 # --- shared layers ---------------------------------------------------------
 
+# Lazy layer plans are defined once per session and data folder, as the
+# staging views of a warehouse are: only the plan object is reused (no data is
+# cached), and the zone-size check behind the broadcast runs once.
+_LAYERS: dict[tuple, DataFrame] = {}
+
+
+def _layer(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (id(spark), spark.sparkContext.applicationId, d.rstrip("/"), name)
+    df = _LAYERS.get(key)
+    if df is None:
+        df = _LAYERS[key] = build()
+    return df
+
+
 def _trips(spark, d):
-    return models.stg_trips(star_trips(spark, d))
+    return _layer(spark, d, "stg_trips", lambda: models.stg_trips(star_trips(spark, d)))
 
 
 def _zones(spark, d):
-    return models.stg_zones(star_zones(spark, d))
+    return _layer(spark, d, "stg_zones", lambda: models.stg_zones(star_zones(spark, d)))
 
 
 def _metrics(spark, d):
-    return models.trip_metrics(_trips(spark, d))
+    return _layer(spark, d, "metrics", lambda: models.trip_metrics(_trips(spark, d)))
 
 
 def _enriched(spark, d):
-    return models.trip_enriched(_metrics(spark, d), _zones(spark, d))
+    return _layer(spark, d, "enriched",
+                  lambda: models.trip_enriched(_metrics(spark, d), _zones(spark, d)))
 
 
 def _mart_zone_revenue(spark, d):
-    return marts.zone_revenue(_enriched(spark, d))
+    return _layer(spark, d, "mart_zone_revenue", lambda: marts.zone_revenue(_enriched(spark, d)))
 
 
 def _mart_demand(spark, d):
-    return marts.demand_timing(_enriched(spark, d))
+    return _layer(spark, d, "mart_demand_timing", lambda: marts.demand_timing(_enriched(spark, d)))
 
 
 def _mart_tip(spark, d):
-    return marts.tip_behaviour(_enriched(spark, d))
+    return _layer(spark, d, "mart_tip_behaviour", lambda: marts.tip_behaviour(_enriched(spark, d)))
 
 
 def _file_layout(spark, d):
-    return to_file_layout(star_trips(spark, d))
+    return _layer(spark, d, "file_layout", lambda: to_file_layout(star_trips(spark, d)))
 
 
 def _written_files(spark, d, name, n_files=4):
@@ -73,7 +88,7 @@ def _written_files(spark, d, name, n_files=4):
 
 
 def _daily(spark, d):
-    return daily.daily_zone_from_files(_file_layout(spark, d))
+    return _layer(spark, d, "daily", lambda: daily.daily_zone_from_files(_file_layout(spark, d)))
 
 
 # --- sources and sinks -----------------------------------------------------

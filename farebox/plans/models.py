@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox import functions as fx
-from farebox.operators.joins import BROADCAST_MAX_ROWS, lookup_join
+from farebox.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast, lookup_join
 from farebox.schemas import ENRICH_ZONE_COLUMNS, STG_TRIP_COLUMNS, STG_ZONE_COLUMNS
 
 PICKUP = "tpep_pickup_datetime"
@@ -46,9 +46,9 @@ def trip_enriched(metrics: DataFrame, zones: DataFrame,
                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Metrics plus pickup and drop-off zone attributes (two LEFT lookups of
     the same dimension in two roles)."""
+    # One bounded count decides the strategy for both roles.
+    small = fits_broadcast(zones.select("location_id", *ENRICH_ZONE_COLUMNS), max_broadcast_rows)
     out = lookup_join(metrics, zones, "pu_location_id", "location_id",
-                      {c: f"pickup_{c}" for c in ENRICH_ZONE_COLUMNS},
-                      max_broadcast_rows=max_broadcast_rows)
+                      {c: f"pickup_{c}" for c in ENRICH_ZONE_COLUMNS}, broadcast=small)
     return lookup_join(out, zones, "do_location_id", "location_id",
-                       {c: f"dropoff_{c}" for c in ENRICH_ZONE_COLUMNS},
-                       max_broadcast_rows=max_broadcast_rows)
+                       {c: f"dropoff_{c}" for c in ENRICH_ZONE_COLUMNS}, broadcast=small)
