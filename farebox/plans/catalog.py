@@ -22,6 +22,7 @@ from farebox.operators.windows import rank_asc, rank_desc
 from farebox.plans import daily, marts, models, reports
 from farebox.session import scratch_path
 from farebox.sources import semistructured, sinks, trip_files, zone_csv
+from farebox.streaming import daily_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -373,6 +374,17 @@ def job_daily_zone(spark, d):
     return spark.read.parquet(out)
 
 
+def stream_daily_zone(spark, d):
+    """The daily job run incrementally: one micro-batch per trip file."""
+    src = _written_files(spark, d, "trip-files-stream")
+    base = scratch_path(spark, "daily-stream")
+    schema = spark.read.parquet(src).schema
+    q = daily_incremental.start(spark, src, schema, f"{base}/partials", f"{base}/_checkpoint",
+                                files_per_batch=1, path_glob="part-*.parquet")
+    q.awaitTermination()
+    return daily_incremental.read_daily(spark, f"{base}/partials")
+
+
 # --- data quality ------------------------------------------------------------
 
 def dq_not_null(spark, d):
@@ -470,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "report_demand_timing": report_demand_timing,
     "report_tip_behaviour": report_tip_behaviour,
     "job_daily_zone": job_daily_zone,
+    "stream_daily_zone": stream_daily_zone,
     # data quality
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
