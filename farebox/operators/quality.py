@@ -134,20 +134,33 @@ def raise_on_errors(status: DataFrame, status_col: str = "status") -> list:
 
 def list_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """(file_name, size_bytes) for the files in ``directory`` matching the
-    glob ``pattern``. The listing is a Spark job over file metadata: the
-    ``content`` column is pruned, so no file is read."""
+    glob ``pattern``.
+
+    Sizes come from the ``binaryFile`` source with its ``content`` column
+    pruned (no file is read). File sources produce no row for a zero-byte
+    file, so the names come from the source's file index (``inputFiles``,
+    metadata the driver lists anyway) and missing sizes mean empty files.
+    """
     try:
         files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
                  .load(directory))
-        return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                            F.col("length").alias("size_bytes"))
+        names = files.inputFiles()
     except AnalysisException:
         return spark.createDataFrame([], "file_name string, size_bytes bigint")
 
+    def base(c):
+        return F.element_at(F.split(c, "/"), -1)
+
+    indexed = spark.createDataFrame([(p,) for p in names], "path string").select(
+        base("path").alias("file_name"))
+    sized = files.select(base("path").alias("file_name"), F.col("length").alias("size_bytes"))
+    return indexed.join(sized, "file_name", "left").select(
+        "file_name", F.coalesce("size_bytes", F.lit(0)).cast("bigint").alias("size_bytes"))
+
 
 def file_exists(spark: SparkSession, path: str) -> bool:
     try:
-        return spark.read.format("binaryFile").load(path).select("length").limit(1).count() > 0
+        return len(spark.read.format("binaryFile").load(path).inputFiles()) > 0
     except AnalysisException:
         return False
 

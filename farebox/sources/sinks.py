@@ -7,22 +7,16 @@ from pyspark.sql import functions as F
 
 
 def write_partitioned(df: DataFrame, path: str, keys: list[str], dynamic: bool = True,
-                      files_per_partition: int = 1,
                       max_records_per_file: int | None = None) -> None:
-    """Hash-repartition by the partition keys, then write Hive-style
-    ``key=value`` directories.
+    """Write Hive-style ``key=value`` directories, one shuffle by the keys.
 
-    ``dynamic`` replaces only the partitions present in ``df`` and leaves the
-    others in place. With ``files_per_partition > 1`` every output partition
-    is spread over that many tasks by a row-hash salt, so a hot partition
-    (one month holding a third of the rows) is not written by a single task.
+    The shuffle uses the REBALANCE hint rather than a plain repartition: rows
+    of one partition value still land together, but AQE splits a skewed
+    value (one month holding a third of the rows) over several tasks of the
+    advisory size and merges tiny ones, so no single task writes a hot month.
+    ``dynamic`` replaces only the partitions present in ``df``.
     """
-    cols = [F.col(k) for k in keys]
-    if files_per_partition > 1:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-        df = df.repartition(*cols, salt)
-    else:
-        df = df.repartition(*cols)
+    df = df.hint("rebalance", *keys)
     writer = (df.write.mode("overwrite")
               .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if max_records_per_file:
