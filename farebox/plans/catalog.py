@@ -20,7 +20,7 @@ from farebox.operators import filters, quality
 from farebox.operators.joins import lookup_join
 from farebox.operators.windows import rank_asc, rank_desc
 from farebox.plans import daily, marts, models, reports
-from farebox.session import scratch_path
+from farebox.session import scratch_path, session_key
 from farebox.sources import semistructured, sinks, trip_files, zone_csv
 from farebox.streaming import daily_incremental
 
@@ -41,7 +41,7 @@ _LAYERS: dict[tuple, DataFrame] = {}
 
 
 def _layer(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (id(spark), spark.sparkContext.applicationId, d.rstrip("/"), name)
+    key = (*session_key(spark), d.rstrip("/"), name)
     df = _LAYERS.get(key)
     if df is None:
         df = _LAYERS[key] = build()

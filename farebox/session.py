@@ -71,15 +71,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the session has none (local runs, tests) is a folder of our own
     set, so that lineage cutting and scratch tables still work.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="farebox-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if configured:
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+        return configured
+    local = tempfile.mkdtemp(prefix="farebox-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
+    return local
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a session for per-session plan reuse."""
+    try:
+        return (id(spark), spark.sparkContext.applicationId)
+    except Exception:
+        return (id(spark), spark.conf.get("spark.app.id", ""))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
