@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from farebox import functions as fx
 from farebox.operators.filters import either_rank_at_most, min_support, rank_at_most
 from farebox.operators.windows import rank_asc, rank_desc
+from farebox.sources.sinks import checkpointed
 
 # Report cut-offs.
 TOP_ZONES = 20
@@ -29,14 +30,23 @@ def annual_zone_revenue(mart_zone_revenue: DataFrame) -> DataFrame:
     return annual.withColumn("annual_revenue_rank", rank_desc("annual_revenue"))
 
 
-def zone_revenue_report(mart_zone_revenue: DataFrame, top: int = TOP_ZONES) -> DataFrame:
+def zone_revenue_report(mart_zone_revenue: DataFrame, top: int = TOP_ZONES,
+                        materialize_mart: bool = True) -> DataFrame:
     """Monthly rows of the annual top-``top`` pickup zones, with both ranks.
 
     The annual ranking is joined back on the location id only; the filter on
     the right side's rank makes the LEFT join an inner one, so a NULL location
     (which takes a rank slot) never shows, and an id with several
     (borough, zone) rows fans out.
+
+    The mart is read twice (annual ranking, monthly rows). Unless it already
+    is a stored table (``materialize_mart=False``), it is checkpointed first:
+    it is small (months x zones), and otherwise both branches would recompute
+    the whole trip plan, since their column pruning differs and Spark cannot
+    reuse the exchanges.
     """
+    if materialize_mart:
+        mart_zone_revenue = checkpointed(mart_zone_revenue)
     ranked = rank_at_most(annual_zone_revenue(mart_zone_revenue), "annual_revenue_rank", top)
     annual = ranked.select(
         F.col("pu_location_id").alias("_a_loc"), "annual_revenue", "annual_trip_count",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.session import checkpoint_dir
+
 
 def write_partitioned(df: DataFrame, path: str, keys: list[str], dynamic: bool = True,
                       max_records_per_file: int | None = None) -> None:
@@ -45,3 +47,15 @@ def materialize(spark: SparkSession, df: DataFrame, how: str, name: str,
         out.createOrReplaceTempView(name)
         return out
     raise ValueError(f"unknown materialisation {how!r}")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once in the session's reliable checkpoint folder
+    (``spark.checkpoint.dir``) and cut its lineage.
+
+    Meant for small intermediate results read more than once (a mart that a
+    report joins with its own aggregate): the upstream trip plan runs once,
+    and a lost executor re-reads the checkpoint instead of recomputing it.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
