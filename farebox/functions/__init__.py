@@ -2,7 +2,7 @@
 
 from farebox.functions.labels import distance_bucket, period_label
 from farebox.functions.numeric import (
-    dec6, exact_avg, exact_sum, guarded_ratio, round2, round_decimal, to_int,
+    exact_avg, guarded_ratio, micro_sum, micros, micros_to_double, round2, round_micros, to_int,
 )
 from farebox.functions.temporal import (
     day_name, elapsed_minutes, elapsed_seconds, hour_part, is_weekend,
@@ -10,8 +10,9 @@ from farebox.functions.temporal import (
 )
 
 __all__ = [
-    "day_name", "dec6", "distance_bucket", "elapsed_minutes", "elapsed_seconds",
-    "exact_avg", "exact_sum", "guarded_ratio", "hour_part", "is_weekend",
+    "day_name", "distance_bucket", "elapsed_minutes", "elapsed_seconds",
+    "exact_avg", "guarded_ratio", "hour_part", "is_weekend", "micro_sum", "micros",
+    "micros_to_double", "round_micros",
     "minute_boundaries", "month_number", "month_start", "period_label",
-    "pickup_date", "round2", "round_decimal", "to_int", "year_part",
+    "pickup_date", "round2", "to_int", "year_part",
 ]

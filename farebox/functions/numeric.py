@@ -1,7 +1,13 @@
-"""Numeric helpers: fixed-point rounding, guarded ratios, casts.
+"""Numeric helpers: half-up rounding, exact sums and averages, guarded
+ratios, rounding casts.
 
 All helpers return Catalyst expressions (no UDFs), so they stay inside
-whole-stage code generation.
+whole-stage code generation. Money and ratios are handled as integer counts
+of millionths ("micro-units"): a double such as 1.005 (stored as
+1.00499999...) first rounds half-up to 1005000 micro-units and then to 1.01,
+as a decimal-based warehouse does. Integer arithmetic keeps this exact and
+several times cheaper than Spark decimals or ``round`` on doubles, and sums
+of micro-units do not depend on row order or partitioning.
 """
 
 from __future__ import annotations
@@ -11,55 +17,66 @@ from pyspark.sql import functions as F
 
 from farebox.functions.util import as_col
 
-# Money and ratios are rounded through six fixed decimals so that a double
-# such as 1.005 (stored as 1.00499999...) rounds half-up to 1.01, as a
-# decimal-based warehouse does, and so that two engines agree bit for bit.
-DEC6 = "decimal(18,6)"
-# Beyond this magnitude decimal(18,6) would overflow; such values are
-# rounded in floating point instead (the two-place rounding is moot there).
-DEC6_LIMIT = 1e12
+MICRO = 1_000_000
+# Below this magnitude |x| * 1e6 stays under 2**53, so micro-units computed in
+# double precision are exact integers. Larger values (not money) fall back to
+# Spark's floating-point rounding.
+FAST_LIMIT = 9e9
 
 
-def dec6(c) -> Column:
-    return as_col(c).cast(DEC6)
+def _half_up_div(n: Column, unit: int) -> Column:
+    """round-half-up(n / unit) for a non-negative integer ``n``, exactly
+    (integer remainder, no floating division of large values)."""
+    t = n + unit // 2
+    return ((t - F.pmod(t, F.lit(unit))) / unit).cast("bigint")
 
 
-def round2(c, places: int = 2) -> Column:
-    """ROUND(x, 2) with half-up rounding on the decimal value of ``x``.
+def abs_micros(c) -> Column:
+    """|x| rounded half-up to millionths, as a bigint."""
+    return F.floor(F.abs(as_col(c)) * float(MICRO) + 0.5)
+
+
+def micros(c) -> Column:
+    """x rounded half-up (away from zero) to millionths, as a signed bigint."""
+    col = as_col(c)
+    m = abs_micros(col)
+    return F.when(col < 0, -m).otherwise(m)
 
-    Decimal inputs (exact sums) are rounded directly; doubles go through
-    decimal(18,6) when their magnitude allows it.
-    """
+
+def round2(c, places: int = 2) -> Column:
+    """ROUND(x, places) half-up on the six-decimal value of ``x``; NULL stays
+    NULL."""
     col = as_col(c)
-    return F.when(
-        F.abs(col) < F.lit(DEC6_LIMIT),
-        F.round(col.cast(DEC6), places).cast("double"),
-    ).otherwise(F.round(col.cast("double"), places))
+    unit = 10 ** (6 - places)
+    q = _half_up_div(abs_micros(col), unit)
+    fast = F.when(col < 0, -q).otherwise(q) / float(10 ** places)
+    return F.when(F.abs(col) < FAST_LIMIT, fast).otherwise(F.round(col, places))
 
 
-def round_decimal(c, places: int = 2) -> Column:
-    """Round an exact decimal (e.g. a decimal sum) half-up and return a double."""
-    return F.round(as_col(c), places).cast("double")
+def micro_sum(c) -> Column:
+    """SUM of a money column as exact micro-units (bigint)."""
+    return F.sum(micros(c))
 
 
-def exact_sum(c) -> Column:
-    """SUM of a money column carried out in fixed point.
+def micros_to_double(m) -> Column:
+    """Micro-units -> the nearest double of the decimal value."""
+    return as_col(m).cast("double") / float(MICRO)
 
-    The result does not depend on row order or partitioning, which plain
-    floating-point sums do; it is returned as decimal so callers can rank on
-    it or round it.
-    """
-    return F.sum(dec6(c))
 
+def round_micros(m, places: int = 2) -> Column:
+    """Half-up rounding of a micro-unit amount (e.g. an exact sum) to
+    ``places`` decimals, as a double."""
+    col = as_col(m)
+    q = _half_up_div(F.abs(col), 10 ** (6 - places))
+    return F.when(col < 0, -q).otherwise(q) / float(10 ** places)
 
-def exact_avg(c) -> Column:
-    """AVG with an exact (fixed-point) numerator: sum / non-null count.
 
-    NULL when no non-null value exists, like AVG.
-    """
+def exact_avg(c) -> Column:
+    """AVG with an exact numerator: (micro-unit sum as a double) / non-null
+    count; NULL when there is no non-null value."""
     col = as_col(c)
     n = F.count(col)
-    return F.when(n > 0, exact_sum(col).cast("double") / n.cast("double"))
+    return F.when(n > 0, micros_to_double(micro_sum(col)) / n.cast("double"))
 
 
 def guarded_ratio(num, den, scale: float = 1.0) -> Column:

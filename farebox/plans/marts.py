@@ -19,18 +19,19 @@ def zone_revenue(enriched: DataFrame) -> DataFrame:
     """Month x pickup location x borough x zone: trips, revenue, average
     revenue, and the revenue rank within the month.
 
-    The rank orders by the unrounded revenue, carried as an exact decimal sum
-    so ties and order do not depend on partitioning.
+    The rank orders by the unrounded revenue, carried as an exact micro-unit
+    sum so ties and order do not depend on partitioning. Averages are exact
+    sums over counts, rounded half-up.
     """
     base = not_null(positive_total(enriched), "pickup_month")
     agg = base.groupBy("pickup_month", "pu_location_id", "pickup_borough", "pickup_zone").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        fx.exact_sum("total_amount").alias("_revenue"),
-        F.avg("total_amount").alias("_avg_revenue"),
+        fx.micro_sum("total_amount").alias("_revenue"),
+        fx.exact_avg("total_amount").alias("_avg_revenue"),
     )
     return agg.select(
         "pickup_month", "pu_location_id", "pickup_borough", "pickup_zone", "trip_count",
-        fx.round_decimal("_revenue").alias("total_revenue"),
+        fx.round_micros("_revenue").alias("total_revenue"),
         fx.round2("_avg_revenue").alias("avg_trip_revenue"),
         rank_desc("_revenue", ["pickup_month"]).alias("monthly_revenue_rank"),
     )
@@ -40,8 +41,8 @@ def demand_timing(enriched: DataFrame) -> DataFrame:
     """Hour x day name x weekend flag: trips and average fares."""
     return positive_total(enriched).groupBy("pickup_hour", "pickup_day_name", "is_weekend").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        fx.round2(F.avg("fare_amount")).alias("avg_fare_amount"),
-        fx.round2(F.avg("total_amount")).alias("avg_total_amount"),
+        fx.round2(fx.exact_avg("fare_amount")).alias("avg_fare_amount"),
+        fx.round2(fx.exact_avg("total_amount")).alias("avg_total_amount"),
     )
 
 
@@ -53,8 +54,8 @@ def tip_behaviour(enriched: DataFrame) -> DataFrame:
         fx.distance_bucket("trip_distance").alias("distance_bucket"),
     ).agg(
         F.count(F.lit(1)).alias("trip_count"),
-        fx.round2(F.avg("trip_distance")).alias("avg_trip_distance"),
-        fx.round2(F.avg("tip_percentage")).alias("avg_tip_percentage"),
-        fx.round2(F.avg("tip_amount")).alias("avg_tip_amount"),
-        fx.round2(F.avg("total_amount")).alias("avg_total_amount"),
+        fx.round2(fx.exact_avg("trip_distance")).alias("avg_trip_distance"),
+        fx.round2(fx.exact_avg("tip_percentage")).alias("avg_tip_percentage"),
+        fx.round2(fx.exact_avg("tip_amount")).alias("avg_tip_amount"),
+        fx.round2(fx.exact_avg("total_amount")).alias("avg_total_amount"),
     )

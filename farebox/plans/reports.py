@@ -24,7 +24,7 @@ def annual_zone_revenue(mart_zone_revenue: DataFrame) -> DataFrame:
     """Per (location, borough, zone): sum of the monthly rounded revenues and
     of the monthly trip counts, and a global rank by that revenue."""
     annual = mart_zone_revenue.groupBy("pu_location_id", "pickup_borough", "pickup_zone").agg(
-        fx.exact_sum("total_revenue").cast("double").alias("annual_revenue"),
+        fx.micros_to_double(fx.micro_sum("total_revenue")).alias("annual_revenue"),
         F.sum("trip_count").alias("annual_trip_count"),
     )
     return annual.withColumn("annual_revenue_rank", rank_desc("annual_revenue"))
@@ -66,8 +66,8 @@ def hourly_summary(mart_demand_timing: DataFrame) -> DataFrame:
     rounded averages, rounded again."""
     return mart_demand_timing.groupBy("pickup_hour").agg(
         F.sum("trip_count").alias("total_trips"),
-        fx.round2(F.avg("avg_fare_amount")).alias("avg_fare_amount"),
-        fx.round2(F.avg("avg_total_amount")).alias("avg_total_amount"),
+        fx.round2(fx.exact_avg("avg_fare_amount")).alias("avg_fare_amount"),
+        fx.round2(fx.exact_avg("avg_total_amount")).alias("avg_total_amount"),
     )
 
 
@@ -91,10 +91,10 @@ def zone_tip_summary(mart_tip_behaviour: DataFrame) -> DataFrame:
     return mart_tip_behaviour.groupBy(
         "pickup_borough", "pickup_zone", "payment_type", "distance_bucket").agg(
         F.sum("trip_count").alias("trip_count"),
-        fx.round2(F.avg("avg_trip_distance")).alias("avg_trip_distance"),
-        fx.round2(F.avg("avg_tip_percentage")).alias("avg_tip_percentage"),
-        fx.round2(F.avg("avg_tip_amount")).alias("avg_tip_amount"),
-        fx.round2(F.avg("avg_total_amount")).alias("avg_total_amount"),
+        fx.round2(fx.exact_avg("avg_trip_distance")).alias("avg_trip_distance"),
+        fx.round2(fx.exact_avg("avg_tip_percentage")).alias("avg_tip_percentage"),
+        fx.round2(fx.exact_avg("avg_tip_amount")).alias("avg_tip_amount"),
+        fx.round2(fx.exact_avg("avg_total_amount")).alias("avg_total_amount"),
     )
 
 

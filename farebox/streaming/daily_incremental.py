@@ -25,9 +25,9 @@ def partial_daily(cleaned: DataFrame) -> DataFrame:
     """Mergeable partial state per day and pickup zone."""
     secs = F.col("trip_duration_seconds")
     aggs = [F.count(F.lit(1)).alias("trip_count"),
-            fx.exact_sum("total_amount").alias("sum_total_amount")]
+            fx.micro_sum("total_amount").alias("sum_total_amount")]
     for c in _SUMMED:
-        aggs += [fx.exact_sum(c).alias(f"sum_{c}"), F.count(c).alias(f"n_{c}")]
+        aggs += [fx.micro_sum(c).alias(f"sum_{c}"), F.count(c).alias(f"n_{c}")]
     aggs += [F.sum(secs).alias("sum_seconds"), F.count(secs).alias("n_seconds")]
     return cleaned.groupBy(*daily.DAILY_KEYS).agg(*aggs)
 
@@ -38,11 +38,11 @@ def merge_partials(partials: DataFrame) -> DataFrame:
     m = partials.groupBy(*daily.DAILY_KEYS).agg(*[F.sum(c).alias(c) for c in summed])
 
     def avg(s: str, n: str):
-        return F.when(F.col(n) > 0, F.col(s).cast("double") / F.col(n).cast("double"))
+        return F.when(F.col(n) > 0, fx.micros_to_double(s) / F.col(n).cast("double"))
 
     return m.select(
         *daily.DAILY_KEYS, "trip_count",
-        F.col("sum_total_amount").cast("double").alias("total_revenue"),
+        fx.micros_to_double("sum_total_amount").alias("total_revenue"),
         avg("sum_fare_amount", "n_fare_amount").alias("avg_fare_amount"),
         avg("sum_tip_amount", "n_tip_amount").alias("avg_tip_amount"),
         avg("sum_trip_distance", "n_trip_distance").alias("avg_trip_distance"),

@@ -82,6 +82,20 @@ def test_round2_half_up_on_decimal_value(spark):
     assert [r[0] for r in out] == [1.01, 2.68, -1.01, None, 1e15 + 0.5]
 
 
+def test_round_micros_and_micros(spark):
+    out = one(spark, [(1005000,), (-1005000,), (1004999,), (0,), (None,)], "m bigint",
+              fx.round_micros("m"))
+    assert [r[0] for r in out] == [1.01, -1.01, 1.0, 0.0, None]
+    out = one(spark, [(1.005,), (-2.5e-7,), (1e-6,)], "x double", fx.micros("x"))
+    assert [r[0] for r in out] == [1005000, 0, 1]
+
+
+def test_round2_matches_decimal_rule_on_random_values(spark):
+    df = spark.range(200000).select(((F.rand(7) - 0.5) * 2e5).alias("x"))
+    dec = F.round(F.col("x").cast("decimal(18,6)"), 2).cast("double")
+    assert df.filter(fx.round2("x") != dec).count() == 0
+
+
 def test_to_int_rounds(spark):
     out = one(spark, [(1.5,), (2.5,), (2.4,), (-1.5,)], "x double", fx.to_int("x"))
     assert [r[0] for r in out] == [2, 3, 2, -2]
@@ -102,6 +116,7 @@ def test_period_label_peak_wins(spark):
 
 def test_exact_avg_and_sum(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (None,)], "x double")
-    r = df.agg(fx.exact_avg("x").alias("a"), fx.exact_sum("x").cast("double").alias("s")).first()
-    assert r.s == 0.3 and r.a == 0.15
+    r = df.agg(fx.exact_avg("x").alias("a"),
+               fx.micros_to_double(fx.micro_sum("x")).alias("s")).first()
+    assert r.s == 0.3 and r.a == 0.15  # plain doubles give 0.30000000000000004
     assert spark.createDataFrame([(None,)], "x double").agg(fx.exact_avg("x")).first()[0] is None
