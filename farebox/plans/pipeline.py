@@ -54,3 +54,25 @@ def run(spark: SparkSession, raw_trips: DataFrame, raw_zones: DataFrame, out_dir
         tables[name] = sinks.materialize(spark, build(enriched), "table", name,
                                          f"{base}/marts/{name}")
     return PipelineResult(quality=rows, tables=tables)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m farebox.plans.pipeline TRIP_GLOB ZONE_CSV OUT_DIR``: load,
+    gate, build and publish; prints the quality status rows."""
+    import sys
+
+    from farebox.session import configure
+    from farebox.sources.trip_files import load_trips
+    from farebox.sources.zone_csv import load_zones
+
+    args = sys.argv[1:] if argv is None else argv
+    if len(args) != 3:
+        raise SystemExit("usage: python -m farebox.plans.pipeline TRIP_GLOB ZONE_CSV OUT_DIR")
+    spark = configure(SparkSession.builder.appName("farebox-pipeline").getOrCreate())
+    result = run(spark, load_trips(spark, args[0]), load_zones(spark, args[1]), args[2])
+    for row in result.quality:
+        print(row.asDict())
+
+
+if __name__ == "__main__":
+    main()

@@ -52,6 +52,17 @@ def merge_partials(partials: DataFrame) -> DataFrame:
     )
 
 
+def write_partials(cleaned_batch: DataFrame, batch_id: int, partials_dir: str) -> None:
+    """Write one micro-batch's partials into its own ``batch_id=`` partition.
+
+    Dynamic overwrite makes this idempotent: a batch replayed after a failure
+    replaces its earlier output instead of adding to it.
+    """
+    (partial_daily(cleaned_batch).withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(partials_dir))
+
+
 def start(spark: SparkSession, input_dir: str, schema: T.StructType, partials_dir: str,
           checkpoint_location: str, files_per_batch: int | None = None,
           available_now: bool = True, path_glob: str = "*.parquet") -> StreamingQuery:
@@ -63,10 +74,7 @@ def start(spark: SparkSession, input_dir: str, schema: T.StructType, partials_di
     cleaned = daily.clean_trips(daily.scan_trips_pruned(files))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (partial_daily(batch).withColumn("batch_id", F.lit(batch_id))
-         .repartition(*daily.PARTITION_KEYS)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(partials_dir))
+        write_partials(batch, batch_id, partials_dir)
 
     writer = (cleaned.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_location))
