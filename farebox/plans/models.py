@@ -33,7 +33,7 @@ def trip_metrics(trips: DataFrame) -> DataFrame:
     cols = trips.columns
     minutes = F.col("trip_duration_minutes")
     # Hours keep six decimals (fixed-point division of minutes by 60.0).
-    hours = F.round(minutes.cast("double") / 60.0, 6)
+    hours = fx.round2(minutes.cast("double") / 60.0, places=6)
     with_minutes = trips.select("*", fx.minute_boundaries(PICKUP, DROPOFF).alias("trip_duration_minutes"))
     with_raw = with_minutes.select(
         "*",
