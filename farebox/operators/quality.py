@@ -11,9 +11,11 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from farebox.functions.util import as_col
 
 # The tests the staging models declare.
 TRIP_NOT_NULL = ["vendor_id", "tpep_pickup_datetime", "tpep_dropoff_datetime",
@@ -61,9 +63,9 @@ def reversed_trip_times(df: DataFrame, pickup_col: str = TRIP_DURATION[0],
     return df.filter(F.col(dropoff_col) < F.col(pickup_col))
 
 
-def status_of(failures, severity) -> F.Column:
-    f, s = F.col(failures) if isinstance(failures, str) else failures, severity
-    s = F.col(s) if isinstance(s, str) else s
+def status_of(failures, severity) -> Column:
+    """pass when there are no failures, else the test's severity."""
+    f, s = as_col(failures), as_col(severity)
     return F.when(f == 0, PASS).when(s == WARN, WARN).otherwise(ERROR)
 
 
