@@ -68,8 +68,9 @@ def build_session(master: str | None = None, app_name: str = "farebox",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local runs, tests) is a folder of our own
-    set, so that lineage cutting and scratch tables still work.
+    Only when the session has none and runs in local mode (tests, local runs)
+    is a folder of our own set; a cluster session without one is an error,
+    since a machine-local folder is not shared by the executors.
     """
     try:
         sc = spark.sparkContext
@@ -83,6 +84,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(configured)
         return configured
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local"):
+        # A machine-local folder is not reachable from other executors.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
+                           "for this cluster session")
     local = tempfile.mkdtemp(prefix="farebox-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)

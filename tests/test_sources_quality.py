@@ -167,3 +167,10 @@ def test_pipeline_publishes_marts(spark, tmp_out):
     assert res.tables["mart_demand_timing"].count() == spark.read.parquet(
         os.path.join(tmp_out, "marts", "mart_demand_timing")).count()
     assert any(r.status == "warn" for r in res.quality)
+
+
+def test_checkpoint_dir_comes_from_session(spark):
+    from farebox.session import checkpoint_dir, scratch_path
+    d = checkpoint_dir(spark)
+    assert d and d == spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(d.rstrip("/") + "/farebox-scratch/x-")
