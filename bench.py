@@ -35,7 +35,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", app_name="farebox-bench",
-                          shuffle_partitions=max(8, cpus * 2),
+                          shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS",
+                                                                max(8, cpus * 2))),
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
     def run_all() -> dict[str, float]:
         out = {}

@@ -56,20 +56,37 @@ def run(spark: SparkSession, raw_trips: DataFrame, raw_zones: DataFrame, out_dir
     return PipelineResult(quality=rows, tables=tables)
 
 
+def run_from_files(spark: SparkSession, trip_dir: str, zone_csv_path: str, out_dir: str,
+                   trip_pattern: str = "yellow_tripdata_2023-*.parquet",
+                   expected_files: int | None = 12, as_of: str | None = None,
+                   gate: bool = True) -> PipelineResult:
+    """The whole daily flow from files: check the input manifest (all
+    problems reported together), load trips and zones with their fixed
+    schemas, then ``run``. ``expected_files=None`` skips the count check."""
+    from farebox.sources.trip_files import load_trips
+    from farebox.sources.zone_csv import load_zones
+
+    if expected_files is not None:
+        quality.validate_files(spark, trip_dir, trip_pattern, zone_csv_path, expected_files)
+    trips = load_trips(spark, f"{trip_dir.rstrip('/')}/{trip_pattern}", as_of=as_of)
+    zones = load_zones(spark, zone_csv_path, as_of=as_of)
+    return run(spark, trips, zones, out_dir, gate=gate)
+
+
 def main(argv: list[str] | None = None) -> None:
-    """``python -m farebox.plans.pipeline TRIP_GLOB ZONE_CSV OUT_DIR``: load,
-    gate, build and publish; prints the quality status rows."""
+    """``python -m farebox.plans.pipeline TRIP_DIR ZONE_CSV OUT_DIR [EXPECTED_FILES]``:
+    validate, load, gate, build and publish; prints the quality status rows."""
     import sys
 
     from farebox.session import configure
-    from farebox.sources.trip_files import load_trips
-    from farebox.sources.zone_csv import load_zones
 
     args = sys.argv[1:] if argv is None else argv
-    if len(args) != 3:
-        raise SystemExit("usage: python -m farebox.plans.pipeline TRIP_GLOB ZONE_CSV OUT_DIR")
+    if len(args) not in (3, 4):
+        raise SystemExit("usage: python -m farebox.plans.pipeline TRIP_DIR ZONE_CSV OUT_DIR "
+                         "[EXPECTED_FILES]")
     spark = configure(SparkSession.builder.appName("farebox-pipeline").getOrCreate())
-    result = run(spark, load_trips(spark, args[0]), load_zones(spark, args[1]), args[2])
+    expected = int(args[3]) if len(args) == 4 else 12
+    result = run_from_files(spark, args[0], args[1], args[2], expected_files=expected)
     for row in result.quality:
         print(row.asDict())
 

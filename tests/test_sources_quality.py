@@ -174,3 +174,22 @@ def test_checkpoint_dir_comes_from_session(spark):
     d = checkpoint_dir(spark)
     assert d and d == spark.sparkContext.getCheckpointDir()
     assert scratch_path(spark, "x").startswith(d.rstrip("/") + "/farebox-scratch/x-")
+
+
+def test_run_from_files_end_to_end(spark, tmp_out):
+    raw = os.path.join(tmp_out, "raw")
+    trips = star_trips(spark, SF001).filter(
+        F.col("tpep_pickup_datetime").isNotNull() & F.col("pu_location_id").isNotNull())
+    staging = os.path.join(tmp_out, "staging")
+    to_file_layout(trips).repartition(2).write.parquet(staging)
+    os.makedirs(raw)
+    for i, f in enumerate(sorted(p for p in os.listdir(staging) if p.endswith(".parquet"))):
+        os.rename(os.path.join(staging, f), os.path.join(raw, f"yellow_tripdata_2023-{i + 1:02d}.parquet"))
+    zpath = os.path.join(tmp_out, "zones")
+    zone_csv.write_zones_csv(star_zones(spark, SF001), zpath)
+    with pytest.raises(quality.FileValidationError):
+        pipeline.run_from_files(spark, raw, zpath, os.path.join(tmp_out, "out"))
+    res = pipeline.run_from_files(spark, raw, zpath, os.path.join(tmp_out, "out"),
+                                  expected_files=2, as_of="2024-01-01 00:00:00")
+    assert res.tables["int_trip_enriched"].count() == trips.count()
+    assert spark.table("mart_zone_revenue").count() == res.tables["mart_zone_revenue"].count()
