@@ -19,7 +19,7 @@ from farebox.fixtures import read_table, star_trips, star_zones, to_file_layout
 from farebox.operators import filters, quality
 from farebox.operators.joins import lookup_join
 from farebox.operators.windows import rank_asc, rank_desc
-from farebox.plans import daily, marts, models, reports
+from farebox.plans import daily, marts, models, pipeline, reports
 from farebox.session import scratch_path, session_key
 from farebox.sources import semistructured, sinks, trip_files, zone_csv
 from farebox.streaming import daily_incremental
@@ -374,6 +374,15 @@ def job_daily_zone(spark, d):
     return spark.read.parquet(out)
 
 
+def pipeline_publish(spark, d):
+    """Entry A end to end: quality status (gate reporting only: the mapped
+    trips have NULL pickups and locations), enriched table and marts
+    published under scratch, the zone-revenue mart read back."""
+    res = pipeline.run(spark, star_trips(spark, d), star_zones(spark, d),
+                       scratch_path(spark, "pipeline"), gate=False)
+    return res.tables["mart_zone_revenue"]
+
+
 def stream_daily_zone(spark, d):
     """The daily job run incrementally: one micro-batch per trip file."""
     src = _written_files(spark, d, "trip-files-stream")
@@ -483,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "report_tip_behaviour": report_tip_behaviour,
     "job_daily_zone": job_daily_zone,
     "stream_daily_zone": stream_daily_zone,
+    "pipeline_publish": pipeline_publish,
     # data quality
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,

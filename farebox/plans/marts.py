@@ -48,7 +48,12 @@ def demand_timing(enriched: DataFrame) -> DataFrame:
 
 def tip_behaviour(enriched: DataFrame) -> DataFrame:
     """Pickup location x borough x zone x payment type x distance bucket."""
-    base = not_null(positive_total(enriched), "tip_percentage")
+    # tip_percentage is NULL exactly when total_amount <= 0 (or NULL) or
+    # tip_amount is NULL, so with total > 0 already required the cheap
+    # predicate below equals "tip_percentage IS NOT NULL". Filtering on the
+    # derived column itself would make Catalyst push its whole rounding
+    # expression (inlined several times) down into the scan stage.
+    base = not_null(positive_total(enriched), "tip_amount")
     return base.groupBy(
         "pu_location_id", "pickup_borough", "pickup_zone", "payment_type",
         fx.distance_bucket("trip_distance").alias("distance_bucket"),

@@ -58,4 +58,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     and a lost executor re-reads the checkpoint instead of recomputing it.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # A fresh projection plans new exchanges, so a DataFrame object reused
+    # across calls never silently reuses the shuffle files of an earlier run.
+    return df.select("*").checkpoint(eager=True)

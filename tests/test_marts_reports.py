@@ -120,3 +120,12 @@ def test_duplicate_zone_id_fans_out(spark, layers):
     n_drop = L["trips"].filter(F.col("do_location_id") == 1).count()
     n_both = L["trips"].filter((F.col("pu_location_id") == 1) & (F.col("do_location_id") == 1)).count()
     assert e.count() == 6000 + n_pick + n_drop + n_both
+
+
+def test_tip_filter_equivalence(layers):
+    """The tip mart filters on tip_amount; it must select exactly the rows
+    with a non-NULL tip_percentage among positive totals."""
+    e = layers["sf01"]["enriched"].filter(F.col("total_amount") > 0)
+    a = e.filter(F.col("tip_percentage").isNotNull()).count()
+    b = e.filter(F.col("tip_amount").isNotNull()).count()
+    assert a == b
