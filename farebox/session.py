@@ -53,7 +53,9 @@ def build_session(master: str | None = None, app_name: str = "farebox",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = (builder.config("spark.ui.enabled", "false")
+               # Checkpoint files of collected DataFrames are removed as they go.
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for key, value in SEMANTIC_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:

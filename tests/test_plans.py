@@ -3,8 +3,6 @@
 import contextlib
 import io
 
-import pytest
-
 from farebox.fixtures import star_trips, to_file_layout
 from farebox.plans import catalog, daily
 from conftest import SF001
