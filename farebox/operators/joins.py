@@ -32,14 +32,18 @@ def lookup_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     LEFT by default: facts without a match, or with a NULL key, are kept with
     NULL dimension columns; a key present several times in ``dim`` fans out.
-    ``broadcast=None`` decides by a bounded row count of the dimension.
+    ``broadcast=None`` decides by a row count of the projected dimension.
+    The dimension side keeps its own column names and is renamed only after
+    the join, so lookups of one dimension in several roles (pickup, drop-off)
+    build the same dimension plan.
     """
-    key_alias = f"__dim_key_{fact_key}"
-    d = dim.select(F.col(dim_key).alias(key_alias),
-                   *[F.col(src).alias(dst) for src, dst in columns.items()])
+    d = dim.select(F.col(dim_key).alias("__lookup_key"), *columns.keys())
     if broadcast is None:
         broadcast = fits_broadcast(d, max_broadcast_rows)
     if broadcast:
         d = F.broadcast(d)
-    joined = facts.join(d, facts[fact_key] == d[key_alias], how)
-    return joined.drop(key_alias)
+    name = f"__lookup_{fact_key}"
+    r = d.alias(name)
+    joined = facts.join(r, facts[fact_key] == F.col(f"{name}.__lookup_key"), how)
+    return joined.select(*[facts[c] for c in facts.columns],
+                         *[F.col(f"{name}.{src}").alias(dst) for src, dst in columns.items()])

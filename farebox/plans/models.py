@@ -59,7 +59,8 @@ def trip_enriched(metrics: DataFrame, zones: DataFrame,
     """Metrics plus pickup and drop-off zone attributes (two LEFT lookups of
     the same dimension in two roles)."""
     # One bounded count decides the strategy for both roles.
-    small = fits_broadcast(zones.select("location_id", *ENRICH_ZONE_COLUMNS), max_broadcast_rows)
+    small = fits_broadcast(zones.select(F.col("location_id").alias("__lookup_key"),
+                                        *ENRICH_ZONE_COLUMNS), max_broadcast_rows)
     out = lookup_join(metrics, zones, "pu_location_id", "location_id",
                       {c: f"pickup_{c}" for c in ENRICH_ZONE_COLUMNS}, broadcast=small)
     return lookup_join(out, zones, "do_location_id", "location_id",
