@@ -7,7 +7,8 @@ starts with all sets in one node and splits them by a coordinate of its own. A
 node below samples coordinates, each with probability 1 / (threshold x
 coordinates), and sends a set along each of them to the child named by its value. Nodes that hold few sets are compared by brute
 force; larger ones are split again, and what is still large at the last level is
-compared in blocks, so nothing is dropped. As many independent runs are made as
+compared in blocks, so nothing is dropped; so is a child that holds most of a
+large node, whose sets are then too alike to be split. As many independent runs are made as
 the target recall needs; they are rows of the same jobs.
 
 The comparison of sketches is lenient and yields groups of candidates. Within a
@@ -36,7 +37,8 @@ THRESHOLD = 0.8
 RECALL = 0.99
 COORDS = 128
 BLOCK = 256              # sets that are compared at once
-LEVELS = 5               # splits before the rest is compared in blocks
+LEVELS = 12              # splits before the rest is compared in blocks
+DENSE = 0.6              # share of a node in one child that makes splitting pointless
 LENIENT = 0.15           # by how much a sketch may fall short of the threshold
 WORD_CACHE = 400_000
 
@@ -112,7 +114,8 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
 
 
 def _children(nodes: DataFrame, threshold: float, runs: int | None = None) -> DataFrame:
-    """Send each (node, rep, sketch) to its children; ``runs`` roots to start."""
+    """Send each (node, rep, n, sketch) to its children; ``runs`` roots to start.
+    Children know the size of the node they come from."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coords = np.arange(COORDS, dtype=np.uint64)
         limit = np.uint64(int(2 ** 64 / (threshold * COORDS)))
@@ -136,11 +139,11 @@ def _children(nodes: DataFrame, threshold: float, runs: int | None = None) -> Da
                 who.append(row)
             who = np.concatenate(who)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(node).view(np.int64)), pa.array(reps[who])],
-                names=["node", "rep"])
+                [pa.array(np.concatenate(node).view(np.int64)), pa.array(reps[who]),
+                 b.column("n").take(pa.array(who))], names=["node", "rep", "parent_n"])
 
-    cols = ["rep", "sketch"] if runs else ["node", "rep", "sketch"]
-    return nodes.select(*cols).mapInArrow(run, "node long, rep long")
+    cols = ["rep", "n", "sketch"] if runs else ["node", "rep", "n", "sketch"]
+    return nodes.select(*cols).mapInArrow(run, "node long, rep long, parent_n long")
 
 
 def in_blocks(members: DataFrame, payload: str, block: int) -> DataFrame:
@@ -278,19 +281,21 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.min("sketch").alias("sketch")), "jaccard-reps")
 
     edges = None
-    nodes = _children(reps, threshold, runs_for(recall, threshold))
+    nodes = _children(reps.withColumn("n", F.lit(2 ** 62)), threshold,
+                      runs_for(recall, threshold))
     for level in range(levels):
         sizes = nodes.groupBy("node").count().where("count > 1").withColumnRenamed("count", "n")
         members = stored(nodes.join(sizes, "node").join(reps.select("rep", "sketch"), "rep"),
                          "jaccard-nodes")
         last = level == levels - 1
-        here = members if last else members.where(F.col("n") <= block)
+        ends = (F.col("n") <= block) | (F.col("n") >= F.col("parent_n") * DENSE) | F.lit(last)
+        here = members.where(ends)
         found = compare_blocks(
             in_blocks(here.withColumnRenamed("node", "grp"), "sketch", block),
             _by_sketch(threshold - LENIENT), "rep long, root long, links long", "array<binary>")
         found = found.select("rep", "root").distinct()
         edges = found if edges is None else edges.union(found)
-        large = members.where(F.col("n") > block)
+        large = members.where(~ends)
         if last or large.isEmpty():
             break
         nodes = _children(large, threshold)

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import exact_dedup, jaccard_join, packing, quality
+from farebox.llm import (chat_format, exact_dedup, jaccard_join, licences, lm_score, packing,
+                         quality, vectors, word_codec, wrappers)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +34,26 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message as canonical JSON, calls and results linked and in order."""
+    return chat_format.format_chat(table(spark, sf_dir, "conversations"))
+
+
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores of every document by the counts of all documents."""
+    return lm_score.lm_score(table(spark, sf_dir, "documents"))
+
+
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in the paragraphs of all documents."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between embeddings of a cosine of at least 0.9 and their components."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose sets of five words are at least 0.8 alike."""
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
@@ -43,11 +64,32 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_word_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of what they decode to."""
+    coded = word_codec.encode(table(spark, sf_dir, "documents"), WORD_BPE)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(ids, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page and its length in code points."""
+    return wrappers.extract_pages(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
+    "op3_chat_format": op3_chat_format,
+    "op4_lm_score": op4_lm_score,
+    "op5_licences": op5_licences,
+    "op6_vectors": op6_vectors,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_word_codec": op9_word_codec,
+    "op10_wrappers": op10_wrappers,
 }
 
 ORACLE: dict[str, str] = {
