@@ -22,7 +22,7 @@ from farebox.llm.common import stored
 
 UNKNOWN = "unknown"
 DIMENSIONS = 2048
-BACKGROUND_ROWS = 4000    # most corpus paragraphs that the unknown class is fitted on
+BACKGROUND_ROWS = 2000    # most corpus paragraphs that the unknown class is fitted on
 MIN_PROBABILITY = 0.5     # floor of the calibrated cut
 CONFIRMED = 0.6           # least share of a template's words that a paragraph must hold
 
@@ -125,10 +125,15 @@ class Model:
             .cast("int")}).drop("__z", "__top", "__known")
 
 
+def _few_rows(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(family, body) of constants."""
+    rows = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(b).alias("body")) for f, b in pairs])
+    return spark.range(1).select(F.inline(rows))
+
+
 def _training_rows(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(family, w): templates in several wordings, and corpus paragraphs without a cue."""
-    known = spark.createDataFrame(TEMPLATES, "family string, body string").select(
-        "family", words(F.col("body")).alias("w"))
+    known = _few_rows(spark, TEMPLATES).select("family", words(F.col("body")).alias("w"))
     # wordings: the whole, its halves, and the whole without every third word
     variants = known.select("family", F.explode(F.array(
         F.col("w"), F.slice("w", 1, F.ceil(F.size("w") * 0.7).cast("int")),
@@ -140,11 +145,10 @@ def _training_rows(spark: SparkSession, docs: DataFrame, id_col: str, text_col:
              .orderBy("h", "body").limit(BACKGROUND_ROWS)
              .select(F.lit(UNKNOWN).alias("family"), F.slice(words(F.col("body")), 1, 400).alias("w")))
     # cue words in plain prose are unknown too
-    plain = spark.createDataFrame(
-        [(UNKNOWN, s) for s in ("a driving license is needed", "he has permission to go",
-                                "the license was lost", "licensed premises", "a licence to fish",
-                                "permission was granted by the mayor",
-                                "the license plate of the car")], "family string, body string")
+    plain = _few_rows(spark, [(UNKNOWN, s) for s in (
+        "a driving license is needed", "he has permission to go", "the license was lost",
+        "licensed premises", "a licence to fish", "permission was granted by the mayor",
+        "the license plate of the car")])
     return variants.union(other).union(plain.select("family", words(F.col("body"))))
 
 
@@ -159,12 +163,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
                        slots(features(F.col("w"))).alias("at"))
     marked = rows.withColumn("terms", F.transform("at", lambda k: k.cast("string")))
     tf = HashingTF(inputCol="terms", outputCol="x", numFeatures=4 * DIMENSIONS, binary=True)
-    # balance: templates weigh as much as the background
+    # balance: templates weigh about as much as the background; few rows, two tasks
     weighted = tf.transform(marked).withColumn(
-        "weight", F.when(F.col("family") == UNKNOWN, 0.05).otherwise(1.0)).cache()
+        "weight", F.when(F.col("family") == UNKNOWN, 0.1).otherwise(1.0)).coalesce(2).cache()
     fitted = LogisticRegression(featuresCol="x", weightCol="weight", regParam=0.002,
                                 family="multinomial", standardization=False,
-                                maxIter=60).fit(weighted)
+                                maxIter=40).fit(weighted)
     coef = fitted.coefficientMatrix.toArray()
     own = [tf.indexOf(str(k)) for k in range(DIMENSIONS)]
     n = coef.shape[0]
