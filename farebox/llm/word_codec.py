@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 
 from farebox.llm.common import per_worker, small_arrow_batches
 
-LEXICON_WORDS = 50_000    # words of the automaton; the others are merged one by one
+LEXICON_WORDS = 20_000    # words of the automaton; the others are merged one by one
 LONGEST = 48              # bytes of the longest word in the automaton
-CACHE_WORDS = 200_000     # words that a worker remembers
+CACHE_WORDS = 400_000     # words that a worker remembers
 COUNT_WORDS = 300_000     # words that a task counts before it passes them on
 ROWS_OUT = 250
-_SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
+_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _PY_ONLY = re.compile("[\x1c-\x1f]")
 
 
@@ -205,11 +205,13 @@ class WordCodec:
         self.special = _specials(self.tok)
         self.names = {n: t for t, n in self.tok.get_vocab().items()}
         self.cache: dict[str, list[int]] = {}
+        self.plain: dict[str, str] = {}       # what the ids of a known word decode to
 
     def learn(self, words: set[str]) -> None:
         """Remember the ids of these words."""
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
+            self.plain.clear()
         new = list(words.difference(self.cache))
         numbers = traverse(self.auto, [w.encode("utf-8", "replace") for w in new])
         start, ids = self.auto["id_start"], self.auto["ids"]
@@ -222,6 +224,17 @@ class WordCodec:
         for w, e in zip(unseen, self.tok.encode_batch(unseen, add_special_tokens=False),
                         strict=True):
             self.cache[w] = e.ids
+        for w in new:
+            self.plain[w] = self.decode(self.cache[w])
+
+    def code(self, texts: list[str]) -> tuple[list[list[int]], list[str]]:
+        """Ids of each text and what they decode to, word by word."""
+        ids = self.encode(texts)
+        if self.tok.decoder is not None:
+            return ids, [self.decode(i) for i in ids]
+        return ids, [self.decode(i) if any(s in t for s in self.special)
+                     else " ".join(map(self.plain.__getitem__, words_of(t)))
+                     for t, i in zip(texts, ids, strict=True)]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [None if any(s in t for s in self.special) else words_of(t) for t in texts]
@@ -254,12 +267,12 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         for whole in batches:
             for k in range(0, len(whole), ROWS_OUT):
                 b = whole.slice(k, ROWS_OUT)
-                ids = codec.encode([t or "" for t in b.column(1).to_pylist()])
+                ids, plain = codec.code([t or "" for t in b.column(1).to_pylist()])
                 ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                     pa.array([codec.decode(i) for i in ids], pa.string())],
+                     pa.array(plain, pa.string())],
                     names=["doc_id", "ids", "decoded"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
