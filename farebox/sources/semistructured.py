@@ -16,5 +16,6 @@ def extract_path(c, path: str, type_name: str) -> Column:
     half-up instead of truncating it."""
     v = F.parse_json(as_col(c))
     if type_name.lower() in _INTEGRAL:
-        return F.round(F.variant_get(v, path, "decimal(38,6)")).cast(type_name)
+        # one rounding, from the value as written: digits beyond 18 places are no tie
+        return F.round(F.variant_get(v, path, "decimal(38,18)")).cast(type_name)
     return F.variant_get(v, path, type_name)

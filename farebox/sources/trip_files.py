@@ -76,5 +76,7 @@ def load_trips(spark: SparkSession, path: str | list[str],
     """Raw trips table from trip files (a path, a glob such as
     ``.../yellow_tripdata_2023-*.parquet``, or a list of them)."""
     paths = [path] if isinstance(path, str) else list(path)
-    files = spark.read.parquet(*paths)
+    # fields of all footers, not of one: a field that only some files have would
+    # otherwise load as NULL for every file; types that differ are an error
+    files = spark.read.option("mergeSchema", "true").parquet(*paths)
     return stamp_loaded_at(typed_trips(files), as_of)

@@ -107,8 +107,15 @@ def test_shuffle_join_matches_broadcast(layers):
     L = layers["sf01"]
     metrics = models.trip_metrics(L["trips"])
     a = models.trip_enriched(metrics, L["zones"])
+    spark = metrics.sparkSession
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
     b = models.trip_enriched(metrics, L["zones"], max_broadcast_rows=0)
-    assert "BroadcastHashJoin" not in b._jdf.queryExecution().executedPlan().toString() or True
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    for k in keys:
+        spark.conf.unset(k)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

@@ -35,6 +35,31 @@ def test_zone_csv_failfast_raises(spark, tmp_out):
     assert zone_csv.read_zones_csv(spark, p, failfast=False).count() == 1
 
 
+@pytest.mark.parametrize("bad", ["xx,1,2,3", "2,b", "2,b,c,d,e"])
+def test_zone_csv_failfast_raises_for_any_projection(spark, tmp_out, bad):
+    p = os.path.join(tmp_out, "bad.csv")
+    with open(p, "w") as f:
+        f.write(f"id,a,b,c\n1,B,Z,S\n{bad}\n")
+    for use in (lambda z: z.count(), lambda z: z.select("zone").collect()):
+        with pytest.raises(Exception):
+            use(zone_csv.load_zones(spark, p))
+
+
+def test_field_that_only_some_files_have_is_loaded(spark, tmp_out):
+    base = "VendorID bigint, PULocationID bigint, trip_distance double"
+    spark.createDataFrame([(1, 7, 2.0)], base).write.parquet(
+        os.path.join(tmp_out, "yellow_tripdata_2023-01.parquet"))
+    spark.createDataFrame([(1, 8, 2.0, 1.25)], base + ", Airport_fee double").write.parquet(
+        os.path.join(tmp_out, "yellow_tripdata_2023-02.parquet"))
+    rows = trip_files.load_trips(spark, os.path.join(tmp_out, "*.parquet"), as_of="2024-01-01")
+    assert sorted(r.airport_fee or 0.0 for r in rows.collect()) == [0.0, 1.25]
+
+
+def test_path_rounds_once(spark):
+    df = spark.createDataFrame([('{"k":0.4999999}',), ('{"k":0.5}',), ('{"k":1.49}',)], "j string")
+    assert [r[0] for r in df.select(semistructured.extract_path("j", "$.k", "int")).collect()] == [0, 1, 1]
+
+
 def test_typed_load_case_insensitive_and_missing_fields(spark, tmp_out):
     p = os.path.join(tmp_out, "yellow_tripdata_2023-01.parquet")
     df = spark.createDataFrame(
