@@ -29,6 +29,27 @@ CHUNK_WORDS = 1_000_000    # a chunk ends with the document that reaches this
 BUCKET_ENTRIES = 2_000_000
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Numbers as their first bytes, then their second bytes and so on: the empty
+    upper bytes of small numbers lie together and compress to nothing."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def unplanes(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    flat = np.frombuffer(data, np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(flat.T).view(kind).ravel()
+
+
+def steps(x: np.ndarray) -> bytes:
+    """Sorted unsigned numbers as their differences."""
+    return planes(np.diff(x, prepend=np.uint64(0)))
+
+
+def unsteps(data: bytes) -> np.ndarray:
+    return np.cumsum(unplanes(data, np.uint64), dtype=np.uint64)
+
+
 def ngrams(words: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the n-grams that end at each word, and whether one does: an
     n-gram lies within one document (``ends`` are the documents' ends)."""
@@ -120,20 +141,20 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", or
                 full = np.nonzero(np.diff(marks))[0]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(full, pa.int32()), pa.array([b.column(0)[k].as_py()] * len(full)),
-                    pa.array([keys[marks[j]:marks[j + 1]].tobytes() for j in full], pa.binary()),
-                    pa.array([counts[marks[j]:marks[j + 1]].astype(np.uint32).tobytes()
+                    pa.array([steps(keys[marks[j]:marks[j + 1]]) for j in full], pa.binary()),
+                    pa.array([planes(counts[marks[j]:marks[j + 1]].astype(np.uint32))
                               for j in full], pa.binary())],
                     names=["bucket", "chunk", "keys", "counts"])
 
     def total(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("keys")]
-        counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32)
+        keys = [unsteps(x.as_py()) for x in table.column("keys")]
+        counts = np.concatenate([unplanes(x.as_py(), np.uint32)
                                  for x in table.column("counts")])
         _, back = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(back, counts).astype(np.int64)[back]
         at = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
         return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
-                         "sums": pa.array([sums[a:z].tobytes() for a, z in
+                         "sums": pa.array([planes(sums[a:z]) for a, z in
                                            zip(at, at[1:], strict=False)], pa.binary())})
 
     sent = chunks.select("chunk", "ends", "vocab", "words").mapInArrow(
@@ -148,7 +169,8 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", or
                 words, ends = _unpack(b, k)
                 _, _, places = _distinct(words, ends, order)
                 got = b.column("answers")[k].as_py() or []
-                totals = np.frombuffer(b"".join(a["sums"] for a in got), np.int64)
+                totals = np.concatenate([np.empty(0, np.int64),
+                                         *(unplanes(a["sums"], np.int64) for a in got)])
                 each = (score_words(places, totals, all_words, alpha, min_count)
                         if len(words) else np.zeros(0))
                 starts = np.concatenate([[0], ends[:-1]])
@@ -172,16 +194,16 @@ def _chunk_row(chunk: int, ids: list, texts: list[np.ndarray]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([
         pa.array([chunk], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
         pa.array([ends.astype(np.int64).tobytes()], pa.binary()),
-        pa.array([vocab.tobytes()], pa.binary()),
-        pa.array([words.astype(np.uint32).tobytes()], pa.binary()),
+        pa.array([steps(vocab)], pa.binary()),
+        pa.array([planes(words.astype(np.uint32))], pa.binary()),
         pa.array([int(ends[-1])], pa.int64())],
         names=["chunk", "ids", "ends", "vocab", "words", "n"])
 
 
 def _unpack(b: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
     get = lambda c: b.column(c)[k].as_py()
-    vocab = np.frombuffer(get("vocab"), np.uint64)
-    return vocab[np.frombuffer(get("words"), np.uint32)], np.frombuffer(get("ends"), np.int64)
+    vocab = unsteps(get("vocab"))
+    return vocab[unplanes(get("words"), np.uint32)], np.frombuffer(get("ends"), np.int64)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
