@@ -25,8 +25,8 @@ from farebox.llm.jaccard_join import _numbers
 ORDER = 2
 ALPHA = 0.4
 MIN_COUNT = 2              # n-grams of two and more words below this count as unseen
-CHUNK_WORDS = 1_000_000    # a chunk ends with the document that reaches this
-BUCKET_ENTRIES = 2_000_000
+CHUNK_WORDS = 600_000      # a chunk ends with the document that reaches this
+BUCKET_ENTRIES = 1_000_000
 
 
 def planes(x: np.ndarray) -> bytes:
