@@ -1,6 +1,6 @@
 """Encoding and decoding with a word vocabulary through a minimal automaton.
 
-All words (runs without white space) of the table are counted; the most frequent
+All words (runs without white space) of the table are counted; the frequent ones
 become a minimal acyclic automaton over their bytes that shares suffixes. Each
 edge carries how many words lie before it, so a traversal yields the number of a
 word and with it its ids. The automaton is a few sorted arrays in one file, which
@@ -12,6 +12,7 @@ tokenizer itself.
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import re
 import shutil
@@ -30,9 +31,9 @@ from pyspark.sql import functions as F
 
 from farebox.llm.common import per_worker, small_arrow_batches
 
-LEXICON_WORDS = 20_000    # words of the automaton; the others are merged one by one
+LEXICON_WORDS = 200_000   # a word of the automaton holds at least this part of all bytes
 LONGEST = 48              # bytes of the longest word in the automaton
-CACHE_WORDS = 400_000     # words that a worker remembers
+CACHE_WORDS = 200_000     # words that a worker remembers, and as many of longer ago
 COUNT_WORDS = 300_000     # words that a task counts before it passes them on
 ROWS_OUT = 250
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -149,11 +150,14 @@ _PARTS = ("start", "edge", "target", "before", "final", "id_start", "ids")
 
 def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                   words: int = LEXICON_WORDS) -> str:
-    """Make the automaton of the ``words`` most frequent words and give its file
-    to Spark; the file's name there. Ties go to the smaller word."""
+    """Make the automaton of the frequent words and give its file to Spark; the
+    file's name there. Frequent are words whose occurrences make up at least a
+    ``words``-th of all bytes, so there are at most ``words`` of them."""
     spark = docs.sparkSession
-    rows = (count_words(docs, text_col).where(F.octet_length("word") <= LONGEST)
-            .orderBy(F.desc("n"), "word").limit(words).collect())   # at most ``words`` rows
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    share = F.col("n") * F.octet_length("word") * words
+    rows = (count_words(docs, text_col)
+            .where((F.octet_length("word") <= LONGEST) & (share >= total)).collect())
     tok = _tokenizer(tokenizer_path)
     special = _specials(tok)
     frequent = sorted(r["word"].encode() for r in rows
@@ -206,13 +210,19 @@ class WordCodec:
         self.names = {n: t for t, n in self.tok.get_vocab().items()}
         self.cache: dict[str, list[int]] = {}
         self.plain: dict[str, str] = {}       # what the ids of a known word decode to
+        self.older: tuple[dict, dict] = ({}, {})   # both for words of longer ago
 
     def learn(self, words: set[str]) -> None:
         """Remember the ids of these words."""
         if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-            self.plain.clear()
-        new = list(words.difference(self.cache))
+            self.older = self.cache, self.plain
+            self.cache, self.plain = {}, {}
+        missing = words.difference(self.cache)
+        ids_before, plain_before = self.older
+        again = missing.intersection(ids_before)
+        for w in again:
+            self.cache[w], self.plain[w] = ids_before[w], plain_before[w]
+        new = list(missing.difference(again))
         numbers = traverse(self.auto, [w.encode("utf-8", "replace") for w in new])
         start, ids = self.auto["id_start"], self.auto["ids"]
         unseen = []
@@ -227,7 +237,7 @@ class WordCodec:
         for w in new:
             self.plain[w] = self.decode(self.cache[w])
 
-    def code(self, texts: list[str]) -> tuple[list[list[int]], list[str]]:
+    def code(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
         """Ids of each text and what they decode to, word by word."""
         ids = self.encode(texts)
         if self.tok.decoder is not None:
@@ -236,19 +246,19 @@ class WordCodec:
                      else " ".join(map(self.plain.__getitem__, words_of(t)))
                      for t, i in zip(texts, ids, strict=True)]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [None if any(s in t for s in self.special) else words_of(t) for t in texts]
         self.learn(set(chain.from_iterable(w for w in split if w)))
         known = self.cache.__getitem__
-        return [self.tok.encode(t, add_special_tokens=False).ids if w is None
-                else list(chain.from_iterable(map(known, w)))
+        return [np.fromiter(self.tok.encode(t, add_special_tokens=False).ids if w is None
+                            else chain.from_iterable(map(known, w)), np.int32)
                 for t, w in zip(texts, split, strict=True)]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids) -> str:
         """As the tokenizer: a vocabulary without a decoder joins tokens by spaces."""
         if self.tok.decoder is not None:
-            return self.tok.decode(ids, skip_special_tokens=False)
-        return " ".join(map(self.names.__getitem__, ids))
+            return self.tok.decode(list(map(int, ids)), skip_special_tokens=False)
+        return " ".join([self.names[i] for i in ids])
 
 
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -264,16 +274,21 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = per_worker("codec " + name, lambda: WordCodec(
             tokenizer_path, load_lexicon(SparkFiles.get(name))))
-        for whole in batches:
-            for k in range(0, len(whole), ROWS_OUT):
-                b = whole.slice(k, ROWS_OUT)
-                ids, plain = codec.code([t or "" for t in b.column(1).to_pylist()])
-                ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                     pa.array(plain, pa.string())],
-                    names=["doc_id", "ids", "decoded"])
+        # no cycles are made here; the collector would walk the remembered words time and again
+        gc.disable()
+        try:
+            for whole in batches:
+                for k in range(0, len(whole), ROWS_OUT):
+                    b = whole.slice(k, ROWS_OUT)
+                    ids, plain = codec.code([t or "" for t in b.column(1).to_pylist()])
+                    ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+                    flat = np.concatenate([np.empty(0, np.int32), *ids])
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                         pa.array(plain, pa.string())],
+                        names=["doc_id", "ids", "decoded"])
+        finally:
+            gc.enable()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
         run, "doc_id long, ids array<int>, decoded string")
