@@ -2,12 +2,10 @@
 ratios, rounding casts.
 
 All helpers return Catalyst expressions (no UDFs), so they stay inside
-whole-stage code generation. Money and ratios are handled as integer counts
-of millionths ("micro-units"): a double such as 1.005 (stored as
-1.00499999...) first rounds half-up to 1005000 micro-units and then to 1.01,
-as a decimal-based warehouse does. Integer arithmetic keeps this exact and
-several times cheaper than Spark decimals or ``round`` on doubles, and sums
-of micro-units do not depend on row order or partitioning.
+whole-stage code generation. A double stands for its shortest decimal form
+(1.005, stored as 1.00499999..., is 1.005): it is rounded once, half away from
+zero, from that form. Sums add the decimals of the values exactly, so they do not
+depend on row order or partitioning.
 """
 
 from __future__ import annotations
@@ -17,66 +15,52 @@ from pyspark.sql import functions as F
 
 from farebox.functions.util import as_col
 
-MICRO = 1_000_000
-# Below this magnitude |x| * 1e6 stays under 2**53, so micro-units computed in
-# double precision are exact integers. Larger values (not money) fall back to
-# Spark's floating-point rounding.
-FAST_LIMIT = 9e9
+# Sums hold 12 decimals and 26 digits before the point. NaN, infinities and values
+# that leave no room for 10^11 more of their kind are added as doubles instead;
+# doubles of that size carry no cents.
+SUM_TYPE = "decimal(38,12)"
+SUM_REACH = 1e15
 
 
-def _half_up_div(n: Column, unit: int) -> Column:
-    """round-half-up(n / unit) for a non-negative integer ``n``, exactly
-    (integer remainder, no floating division of large values)."""
-    t = n + unit // 2
-    return ((t - F.pmod(t, F.lit(unit))) / unit).cast("bigint")
-
+def round2(c, places: int = 2) -> Column:
+    """ROUND(x, places), half away from zero on the shortest decimal form of
+    ``x``; NULL, NaN and infinities stay."""
+    return F.round(as_col(c), places)
 
-def abs_micros(c) -> Column:
-    """|x| rounded half-up to millionths, as a bigint."""
-    return F.floor(F.abs(as_col(c)) * float(MICRO) + 0.5)
 
+def _in_reach(col: Column) -> Column:
+    return F.abs(col) < SUM_REACH       # false for NaN, which sorts above all numbers
 
-def micros(c) -> Column:
-    """x rounded half-up (away from zero) to millionths, as a signed bigint."""
-    col = as_col(c)
-    m = abs_micros(col)
-    return F.when(col < 0, -m).otherwise(m)
 
-
-def round2(c, places: int = 2) -> Column:
-    """ROUND(x, places) half-up on the six-decimal value of ``x``; NULL stays
-    NULL."""
+def fixed_part(c) -> Column:
+    """SUM of the values that decimals hold, as a decimal; parts of several
+    groups merge by SUM."""
     col = as_col(c)
-    unit = 10 ** (6 - places)
-    q = _half_up_div(abs_micros(col), unit)
-    fast = F.when(col < 0, -q).otherwise(q) / float(10 ** places)
-    return F.when(F.abs(col) < FAST_LIMIT, fast).otherwise(F.round(col, places))
+    return F.sum(F.when(_in_reach(col), col.cast(SUM_TYPE)))
 
 
-def micro_sum(c) -> Column:
-    """SUM of a money column as exact micro-units (bigint)."""
-    return F.sum(micros(c))
+def rest_part(c) -> Column:
+    """SUM of the other values (NaN, infinite, very large), as a double."""
+    col = as_col(c).cast("double")
+    return F.sum(F.when(~_in_reach(col), col))
 
 
-def micros_to_double(m) -> Column:
-    """Micro-units -> the nearest double of the decimal value."""
-    return as_col(m).cast("double") / float(MICRO)
+def from_parts(fixed, rest) -> Column:
+    """The sum as a double; NULL when there was no value."""
+    exact, other = as_col(fixed).cast("double"), as_col(rest)
+    return F.when(other.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + other)
 
 
-def round_micros(m, places: int = 2) -> Column:
-    """Half-up rounding of a micro-unit amount (e.g. an exact sum) to
-    ``places`` decimals, as a double."""
-    col = as_col(m)
-    q = _half_up_div(F.abs(col), 10 ** (6 - places))
-    return F.when(col < 0, -q).otherwise(q) / float(10 ** places)
+def exact_sum(c) -> Column:
+    """SUM, exact in decimals, as the nearest double."""
+    return from_parts(fixed_part(c), rest_part(c))
 
 
 def exact_avg(c) -> Column:
-    """AVG with an exact numerator: (micro-unit sum as a double) / non-null
-    count; NULL when there is no non-null value."""
+    """AVG: exact sum / non-null count; NULL when there is no non-null value."""
     col = as_col(c)
     n = F.count(col)
-    return F.when(n > 0, micros_to_double(micro_sum(col)) / n.cast("double"))
+    return F.when(n > 0, exact_sum(col) / n.cast("double"))
 
 
 def guarded_ratio(num, den, scale: float = 1.0) -> Column:

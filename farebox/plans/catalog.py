@@ -81,10 +81,10 @@ def _file_layout(spark, d):
     return _layer(spark, d, "file_layout", lambda: to_file_layout(star_trips(spark, d)))
 
 
-def _written_files(spark, d, name, n_files=4):
-    """Trip files written by Spark (``n_files`` part files) from the mapping."""
+def _written_files(spark, d, name):
+    """Trip files written by Spark from the mapping, one or more a task."""
     path = scratch_path(spark, name)
-    _file_layout(spark, d).repartition(n_files).write.mode("overwrite").parquet(path)
+    _file_layout(spark, d).write.mode("overwrite").parquet(path)
     return path
 
 

@@ -19,19 +19,19 @@ def zone_revenue(enriched: DataFrame) -> DataFrame:
     """Month x pickup location x borough x zone: trips, revenue, average
     revenue, and the revenue rank within the month.
 
-    The rank orders by the unrounded revenue, carried as an exact micro-unit
-    sum so ties and order do not depend on partitioning. Averages are exact
+    The rank orders by the unrounded revenue, an exact sum, so ties and order
+    do not depend on partitioning. Averages are exact
     sums over counts, rounded half-up.
     """
     base = not_null(positive_total(enriched), "pickup_month")
     agg = base.groupBy("pickup_month", "pu_location_id", "pickup_borough", "pickup_zone").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        fx.micro_sum("total_amount").alias("_revenue"),
+        fx.exact_sum("total_amount").alias("_revenue"),
         fx.exact_avg("total_amount").alias("_avg_revenue"),
     )
     return agg.select(
         "pickup_month", "pu_location_id", "pickup_borough", "pickup_zone", "trip_count",
-        fx.round_micros("_revenue").alias("total_revenue"),
+        fx.round2("_revenue").alias("total_revenue"),
         fx.round2("_avg_revenue").alias("avg_trip_revenue"),
         rank_desc("_revenue", ["pickup_month"]).alias("monthly_revenue_rank"),
     )

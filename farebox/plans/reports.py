@@ -24,7 +24,7 @@ def annual_zone_revenue(mart_zone_revenue: DataFrame) -> DataFrame:
     """Per (location, borough, zone): sum of the monthly rounded revenues and
     of the monthly trip counts, and a global rank by that revenue."""
     annual = mart_zone_revenue.groupBy("pu_location_id", "pickup_borough", "pickup_zone").agg(
-        fx.micros_to_double(fx.micro_sum("total_revenue")).alias("annual_revenue"),
+        fx.exact_sum("total_revenue").alias("annual_revenue"),
         F.sum("trip_count").alias("annual_trip_count"),
     )
     return annual.withColumn("annual_revenue_rank", rank_desc("annual_revenue"))

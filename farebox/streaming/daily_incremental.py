@@ -5,7 +5,7 @@ is reduced to exact partial aggregates per (day, pickup zone) and written to
 its own ``batch_id=`` partition. Rewriting a partition is idempotent, so a
 batch replayed after a failure (the checkpoint records progress) replaces its
 own output instead of adding to it. The daily table is the merge of all
-partials: sums of counts and exact fixed-point sums, averages last.
+partials: sums of counts and of the parts of exact sums, averages last.
 """
 
 from __future__ import annotations
@@ -24,28 +24,28 @@ _SUMMED = ["fare_amount", "tip_amount", "trip_distance"]
 def partial_daily(cleaned: DataFrame) -> DataFrame:
     """Mergeable partial state per day and pickup zone."""
     secs = F.col("trip_duration_seconds")
-    aggs = [F.count(F.lit(1)).alias("trip_count"),
-            fx.micro_sum("total_amount").alias("sum_total_amount")]
-    for c in _SUMMED:
-        aggs += [fx.micro_sum(c).alias(f"sum_{c}"), F.count(c).alias(f"n_{c}")]
+    aggs = [F.count(F.lit(1)).alias("trip_count")]
+    for c in ["total_amount", *_SUMMED]:
+        aggs += [fx.fixed_part(c).alias(f"sum_{c}"), fx.rest_part(c).alias(f"rest_{c}"),
+                 F.count(c).alias(f"n_{c}")]
     aggs += [F.sum(secs).alias("sum_seconds"), F.count(secs).alias("n_seconds")]
     return cleaned.groupBy(*daily.DAILY_KEYS).agg(*aggs)
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:
     """Final daily x zone aggregate, identical to ``daily.daily_zone``."""
-    summed = [c for c in partials.columns if c.startswith(("sum_", "n_"))] + ["trip_count"]
+    summed = [c for c in partials.columns if c.startswith(("sum_", "rest_", "n_"))] + ["trip_count"]
     m = partials.groupBy(*daily.DAILY_KEYS).agg(*[F.sum(c).alias(c) for c in summed])
 
-    def avg(s: str, n: str):
-        return F.when(F.col(n) > 0, fx.micros_to_double(s) / F.col(n).cast("double"))
+    def avg(c: str):
+        n = F.col(f"n_{c}")
+        total = fx.from_parts(f"sum_{c}", f"rest_{c}")
+        return F.when(n > 0, total / n.cast("double")).alias(f"avg_{c}")
 
     return m.select(
         *daily.DAILY_KEYS, "trip_count",
-        fx.micros_to_double("sum_total_amount").alias("total_revenue"),
-        avg("sum_fare_amount", "n_fare_amount").alias("avg_fare_amount"),
-        avg("sum_tip_amount", "n_tip_amount").alias("avg_tip_amount"),
-        avg("sum_trip_distance", "n_trip_distance").alias("avg_trip_distance"),
+        fx.from_parts("sum_total_amount", "rest_total_amount").alias("total_revenue"),
+        *map(avg, _SUMMED),
         F.when(F.col("n_seconds") > 0,
                (F.col("sum_seconds").cast("double") / 60) / F.col("n_seconds").cast("double")
                ).alias("avg_trip_duration_minutes"),
