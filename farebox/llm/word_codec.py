@@ -5,26 +5,28 @@ become a minimal acyclic automaton over their bytes that shares suffixes. Each
 edge carries how many words lie before it, so a traversal yields the number of a
 word and with it its ids. The automaton is a few sorted arrays in one file, which
 Spark hands to the executors and every worker maps into memory; a batch's distinct
-words traverse it all at once. Words that it lacks are merged exactly by the
-tokenizer itself.
+words traverse it all at once. Words that it lacks are merged exactly: runs of
+letters many at once, where the vocabulary parts them from the marks behind them,
+and the rest by the tokenizer itself.
 """
 
 from __future__ import annotations
 
 import atexit
-import gc
+import json
 import os
 import re
 import shutil
+import string
 import sys
 import tempfile
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,45 +35,53 @@ from farebox.llm.common import per_worker, small_arrow_batches
 
 LEXICON_WORDS = 200_000   # a word of the automaton holds at least this part of all bytes
 LONGEST = 48              # bytes of the longest word in the automaton
-CACHE_WORDS = 200_000     # words that a worker remembers, and as many of longer ago
+CACHE_WORDS = 200_000     # odd words that a worker remembers, and as many of longer ago
+MERGE_ROWS = 20_000       # runs of letters merged at once
+BATCH_ROWS = 2500         # texts coded at once, unless their bytes end the batch before
 COUNT_WORDS = 300_000     # words that a task counts before it passes them on
-ROWS_OUT = 250
-_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-_PY_ONLY = re.compile("[\x1c-\x1f]")
+_PY_ONLY = "[\\x1c-\\x1f]"   # part words here, but not for the vocabulary
+_LETTERS = "".join(c for c in map(chr, range(65, 256)) if c.isalpha() and c not in "\xaa\xb5\xba")
+_SHAPE = re.compile(f"([{_LETTERS}]+)([{re.escape(string.punctuation)}]*)")
 
 
-def words_of(text: str) -> list[str]:
-    """Runs without white space as the vocabulary sees it: unlike for str.split,
-    the separators 1C to 1F don't part words."""
-    if _PY_ONLY.search(text):
-        return [w for w in _SPACE.split(text) if w]
-    return text.split()
+def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """Runs without white space, and the place among them where each text ends
+    (with 0 in front)."""
+    parts = pc.utf8_split_whitespace(texts)
+    flat = parts.flatten()
+    there = pc.not_equal(pc.binary_length(flat), 0)
+    upto = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
+    return upto[parts.offsets.to_numpy()], flat.filter(there).dictionary_encode()
+
+
+def _texts(column: pa.Array) -> pa.Array:
+    return pc.fill_null(column.cast(pa.string()), "")
 
 
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) over all texts; tasks add up before anything is shuffled."""
+    def added(seen: list[pa.Table]) -> pa.Table:
+        t = pa.concat_tables(seen).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return t.rename_columns({"n_sum": "n"}).select(["word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen: list[pa.Table] = []
         for b in batches:
-            for t in b.column(0):
-                seen.update(words_of(t.as_py() or ""))
-            if len(seen) > COUNT_WORDS:
-                yield _counted(seen)
-                seen = Counter()
+            _, words = words_of(_texts(b.column(0)))
+            n = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+            seen.append(pa.table({"word": words.dictionary, "n": pa.array(n, pa.int64())}))
+            if sum(map(len, seen)) > 2 * COUNT_WORDS:
+                seen = [added(seen)]
+                if len(seen[0]) > COUNT_WORDS:
+                    yield from seen.pop().to_batches(COUNT_WORDS)
         if seen:
-            yield _counted(seen)
+            yield from added(seen).to_batches(COUNT_WORDS)
 
-    small_arrow_batches(docs.sparkSession)
+    small_arrow_batches(docs.sparkSession, BATCH_ROWS)
     return (docs.select(F.col(text_col)).mapInArrow(run, "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def _counted(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-        names=["word", "n"])
-
-
 def minimal_automaton(words: list[bytes]) -> dict[str, np.ndarray]:
     """Automaton of distinct sorted byte strings, states shared by equal futures.
 
@@ -200,6 +210,124 @@ def _specials(tok) -> list[str]:
     return [t.content for t in tok.get_added_tokens_decoder().values()]
 
 
+def _parts_apart(tok) -> bool:
+    """Whether the tokenizer parts letters from the ASCII marks that follow them
+    before it merges, so that both may be merged on their own."""
+    if tok.pre_tokenizer is None:
+        return False
+    cut = [[at for _, at in tok.pre_tokenizer.pre_tokenize_str(_LETTERS + marks)]
+           for marks in (*string.punctuation, string.punctuation)]
+    return all(len(c) == 2 and c[0] == (0, len(_LETTERS)) for c in cut)
+
+
+def _ragged(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` one after the other."""
+    at = np.repeat(start - (np.cumsum(size) - size), size)
+    at += np.arange(len(at))
+    return flat[at]
+
+
+def _joined(ends: np.ndarray, strings: pa.Array) -> pa.Array:
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), strings)
+    return pc.binary_join(lists, " ")
+
+
+class Merges:
+    """Exact byte-pair merges of many runs of letters at once.
+
+    Runs are rows of a table of symbols. Every step merges, in each row, the
+    leftmost pair of the lowest rank, as the tokenizer does one run at a time."""
+
+    def __init__(self, symbols: np.ndarray, last: np.ndarray, merges: np.ndarray, base: int):
+        self.symbols = symbols          # per Latin-1 letter up to two symbols, -1: none
+        self.last = last                # the symbol that each one is at the end of a run
+        self.base = base
+        keys = merges[:, 0] * base + merges[:, 1]
+        self.order = np.argsort(keys)   # rank of each key
+        self.keys, self.made = keys[self.order], merges[self.order, 2]
+
+    @classmethod
+    def of(cls, tok) -> Merges | None:
+        """From a tokenizer of plain byte-pair merges; None for any other."""
+        model = json.loads(tok.to_str())["model"]
+        plain = not any(model.get(k) for k in ("dropout", "unk_token", "byte_fallback",
+                                               "ignore_merges", "continuing_subword_prefix"))
+        if model["type"] != "BPE" or not plain:
+            return None
+        vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
+        symbols, last = np.full((256, 2), -1), np.full(max(vocab.values()) + 1, -1)
+        for c in _LETTERS:
+            text = tok.normalizer.normalize_str(c) if tok.normalizer else c
+            marks = "".join(p for p, _ in tok.pre_tokenizer.pre_tokenize_str(text))
+            if not 1 <= len(marks) <= 2 or any(m not in vocab or m + end not in vocab for m in marks):
+                return None
+            symbols[ord(c), :len(marks)] = [vocab[m] for m in marks]
+            for m in marks:
+                last[vocab[m]] = vocab[m + end]
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+        rows = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
+        return cls(symbols, last, np.array(rows, np.int64).reshape(-1, 3), len(last))
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Place of each pair among the keys, the number of keys for none."""
+        want = left * self.base + right
+        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
+        there = (self.keys[at] == want) & (left >= 0) & (right >= 0)
+        return np.where(there, at, len(self.keys))
+
+    def merge(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all runs in some order; where each run's start, how many it has."""
+        sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+        flat, filled = [np.empty(0, np.int64)], 0
+        start, count = np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64)
+        by_size = np.argsort(sizes, kind="stable")
+        by_size = by_size[sizes[by_size] > 0]
+        for k in range(0, len(by_size), MERGE_ROWS):     # rows of like length
+            rows = by_size[k:k + MERGE_ROWS]
+            ids, n = self._merge([runs[r] for r in rows.tolist()], sizes[rows])
+            start[rows], count[rows] = filled + np.cumsum(n) - n, n
+            flat.append(ids)
+            filled += len(ids)
+        return np.concatenate(flat), start, count
+
+    def _merge(self, runs: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        codes = np.frombuffer("".join(runs).encode("latin-1"), np.uint8)
+        two = self.symbols[codes]
+        there = two >= 0
+        row = np.repeat(np.repeat(np.arange(len(runs)), sizes), there.sum(1))
+        n = np.bincount(row, minlength=len(runs))
+        column = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        table = np.full((len(runs), int(n.max()) + 1), -1)
+        table[row, column] = two[there]
+        each = np.arange(len(runs))
+        table[each, n - 1] = self.last[table[each, n - 1]]
+        none = len(self.keys)
+        rank_of = np.append(self.order, none)
+        ranks = rank_of[self._find(table[:, :-1], table[:, 1:])]
+        done, live = table.copy(), each
+        columns = np.arange(ranks.shape[1])
+        while len(live):
+            at = ranks.argmin(1)
+            going = ranks[np.arange(len(live)), at] < none
+            done[live[~going]] = table[~going]
+            live, table, ranks, at = live[going], table[going], ranks[going], at[going]
+            if not len(live):
+                break
+            each = np.arange(len(live))
+            made = self.made[self._find(table[each, at], table[each, at + 1])]
+            after = columns[None, :] > at[:, None]
+            table[:, :-1] = np.where(after, table[:, 1:], table[:, :-1])
+            table[:, -1] = -1
+            table[each, at] = made
+            ranks[:, :-1] = np.where(after[:, :-1], ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = none
+            ranks[each, at] = rank_of[self._find(made, table[each, at + 1])]
+            left = np.maximum(at - 1, 0)
+            before = rank_of[self._find(table[each, left], made)]
+            ranks[each, left] = np.where(at > 0, before, ranks[each, left])
+        return done[done >= 0], (done >= 0).sum(1)
+
+
 class WordCodec:
     """Ids of whole texts: the automaton for known words, exact merges for others."""
 
@@ -207,58 +335,86 @@ class WordCodec:
         self.tok = _tokenizer(tokenizer_path)
         self.auto = lexicon
         self.special = _specials(self.tok)
-        self.names = {n: t for t, n in self.tok.get_vocab().items()}
+        vocab = {n: t for t, n in self.tok.get_vocab().items()}
+        self.names = pa.array([vocab.get(n, "") for n in range(max(vocab) + 1)], pa.string())
+        self.merges = Merges.of(self.tok) if _parts_apart(self.tok) else None
         self.cache: dict[str, list[int]] = {}
-        self.plain: dict[str, str] = {}       # what the ids of a known word decode to
-        self.older: tuple[dict, dict] = ({}, {})   # both for words of longer ago
+        self.older: dict[str, list[int]] = {}     # parts of longer ago
 
-    def learn(self, words: set[str]) -> None:
-        """Remember the ids of these words."""
+    def learn(self, parts: set[str]) -> None:
+        """Remember the ids of these parts of words."""
         if len(self.cache) > CACHE_WORDS:
-            self.older = self.cache, self.plain
-            self.cache, self.plain = {}, {}
-        missing = words.difference(self.cache)
-        ids_before, plain_before = self.older
-        again = missing.intersection(ids_before)
-        for w in again:
-            self.cache[w], self.plain[w] = ids_before[w], plain_before[w]
+            self.cache, self.older = {}, self.cache
+        missing = parts.difference(self.cache)
+        again = missing.intersection(self.older)
+        self.cache.update((p, self.older[p]) for p in again)
         new = list(missing.difference(again))
-        numbers = traverse(self.auto, [w.encode("utf-8", "replace") for w in new])
-        start, ids = self.auto["id_start"], self.auto["ids"]
-        unseen = []
-        for w, n in zip(new, numbers.tolist(), strict=True):
-            if n >= 0:
-                self.cache[w] = ids[start[n]:start[n + 1]].tolist()
-            else:
-                unseen.append(w)
-        for w, e in zip(unseen, self.tok.encode_batch(unseen, add_special_tokens=False),
-                        strict=True):
-            self.cache[w] = e.ids
-        for w in new:
-            self.plain[w] = self.decode(self.cache[w])
-
-    def code(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
-        """Ids of each text and what they decode to, word by word."""
-        ids = self.encode(texts)
+        for p, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
+            self.cache[p] = e.ids
+
+    def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that the automaton lacks, and how many each word has: the
+        letters in front by vectorised merges, the rest by the tokenizer."""
+        shape = _SHAPE.fullmatch if self.merges else (lambda w: None)
+        split = [m.groups() if (m := shape(w)) else ("", w) for w in words]
+        none = np.zeros(len(words), np.int64)
+        flat, start, size = (self.merges.merge([s[0] for s in split]) if self.merges
+                             else (none[:0], none, none))
+        rest = [s[1] for s in split]
+        self.learn(set(rest))
+        ids = list(map(self.cache.__getitem__, rest))
+        rest_size = np.fromiter(map(len, ids), np.int64, len(ids))
+        start = np.stack([start, len(flat) + np.cumsum(rest_size) - rest_size], 1).ravel()
+        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(ids), np.int64)])
+        return _ragged(flat, start, np.stack([size, rest_size], 1).ravel()), size + rest_size
+
+    def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Ends and ids of texts, and what each decodes to; the texts hold neither
+        special tokens nor the separators 1C to 1F."""
+        ends, words = words_of(texts)
+        distinct, at = words.dictionary, words.indices.to_numpy()
+        numbers = traverse(self.auto, distinct.cast(pa.binary()).to_pylist())
+        hit = numbers >= 0
+        flat, sizes = self.merged(distinct.filter(pa.array(~hit)).to_pylist())
+        id_start, ids = self.auto["id_start"], self.auto["ids"]
+        start, size = np.zeros(len(hit), np.int64), np.zeros(len(hit), np.int64)
+        start[hit] = id_start[numbers[hit]]
+        size[hit] = id_start[numbers[hit] + 1] - start[hit]
+        start[~hit], size[~hit] = len(ids) + np.cumsum(sizes) - sizes, sizes
+        flat = np.concatenate([ids, flat]).astype(np.int32)
+        # words without ids leave no trace in what is decoded
+        kept = size[at] > 0
+        ends, at = np.concatenate([[0], np.cumsum(kept)])[ends], at[kept]
+        marks = np.concatenate([[0], np.cumsum(size[at])])
+        coded = _ragged(flat, start[at], size[at])
         if self.tok.decoder is not None:
-            return ids, [self.decode(i) for i in ids]
-        return ids, [self.decode(i) if any(s in t for s in self.special)
-                     else " ".join(map(self.plain.__getitem__, words_of(t)))
-                     for t, i in zip(texts, ids, strict=True)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [None if any(s in t for s in self.special) else words_of(t) for t in texts]
-        self.learn(set(chain.from_iterable(w for w in split if w)))
-        known = self.cache.__getitem__
-        return [np.fromiter(self.tok.encode(t, add_special_tokens=False).ids if w is None
-                            else chain.from_iterable(map(known, w)), np.int32)
-                for t, w in zip(texts, split, strict=True)]
+            plain = pa.array([self.decode(coded[a:z]) for a, z in
+                              zip(marks[ends[:-1]], marks[ends[1:]], strict=True)], pa.string())
+        else:
+            each = _joined(np.concatenate([[0], np.cumsum(size)]),
+                           self.names.take(pa.array(_ragged(flat, start, size))))
+            plain = _joined(ends, each.take(pa.array(at)))
+        return marks[ends], coded, plain
+
+    def code_whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """The same for texts that only the tokenizer itself can part."""
+        ids = [self.tok.encode(t, add_special_tokens=False).ids for t in texts]
+        return (np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64),
+                np.fromiter(chain.from_iterable(ids), np.int32),
+                pa.array([self.decode(i) for i in ids], pa.string()))
+
+    def whole(self, texts: pa.Array) -> np.ndarray:
+        """Which texts only the tokenizer itself can part."""
+        found = pc.match_substring_regex(texts, _PY_ONLY)
+        for s in self.special:
+            found = pc.or_(found, pc.match_substring(texts, s))
+        return found.to_numpy(zero_copy_only=False)
 
     def decode(self, ids) -> str:
         """As the tokenizer: a vocabulary without a decoder joins tokens by spaces."""
         if self.tok.decoder is not None:
             return self.tok.decode(list(map(int, ids)), skip_special_tokens=False)
-        return " ".join([self.names[i] for i in ids])
+        return " ".join(self.names[i].as_py() for i in ids)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -268,27 +424,23 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     Null is the empty text, which has no ids and decodes to the empty text. A
     null id is kept, repeated rows give repeated rows, an empty table gives none,
     other columns are ignored."""
-    small_arrow_batches(docs.sparkSession)
+    small_arrow_batches(docs.sparkSession, BATCH_ROWS)
     name = build_lexicon(docs, tokenizer_path, text_col, lexicon_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = per_worker("codec " + name, lambda: WordCodec(
             tokenizer_path, load_lexicon(SparkFiles.get(name))))
-        # no cycles are made here; the collector would walk the remembered words time and again
-        gc.disable()
-        try:
-            for whole in batches:
-                for k in range(0, len(whole), ROWS_OUT):
-                    b = whole.slice(k, ROWS_OUT)
-                    ids, plain = codec.code([t or "" for t in b.column(1).to_pylist()])
-                    ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-                    flat = np.concatenate([np.empty(0, np.int32), *ids])
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                         pa.array(plain, pa.string())],
-                        names=["doc_id", "ids", "decoded"])
-        finally:
-            gc.enable()
+        for b in batches:
+            whole = codec.whole(_texts(b.column(1)))
+            for alone in (False, True):
+                rows = b.filter(pa.array(whole == alone))
+                if not len(rows):
+                    continue
+                texts = _texts(rows.column(1))
+                ends, ids, plain = codec.code_whole(texts.to_pylist()) if alone else codec.code(texts)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([rows.column(0), lists, plain],
+                                                 names=["doc_id", "ids", "decoded"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
         run, "doc_id long, ids array<int>, decoded string")
