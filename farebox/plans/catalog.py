@@ -100,6 +100,34 @@ def load_trips_typed(spark, d):
     return loaded.drop("source_file")
 
 
+def _written_mixed_files(spark, d, name):
+    """Trip files in three layouts by pickup zone: without the airport fee, with
+    narrow ids and whole passenger counts, and as ``to_file_layout`` has them."""
+    path = scratch_path(spark, name)
+    trips = _file_layout(spark, d)
+    layout = F.coalesce(F.col("PULocationID") % 3, F.lit(2))
+    trips.where(layout == 0).drop("Airport_fee").write.parquet(f"{path}/a")
+    narrow = {c: F.col(c).cast("int") for c in ("VendorID", "PULocationID", "DOLocationID")}
+    (trips.where(layout == 1).withColumns(narrow)
+     .withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+     .write.parquet(f"{path}/b"))
+    trips.where(layout == 2).write.parquet(f"{path}/c")
+    return path
+
+
+def load_trips_mixed(spark, d):
+    path = _written_mixed_files(spark, d, "trip-files-mixed")
+    loaded = trip_files.load_trips(spark, f"{path}/*/part-*.parquet", as_of=LOAD_AS_OF)
+    return loaded.drop("source_file")
+
+
+def job_daily_mixed(spark, d):
+    src = _written_mixed_files(spark, d, "job-input-mixed")
+    out = scratch_path(spark, "job-output-mixed")
+    daily.run_daily_job(spark, f"{src}/*/part-*.parquet", out)
+    return spark.read.parquet(out)
+
+
 def load_zones_csv(spark, d):
     path = scratch_path(spark, "zone-csv")
     zone_csv.write_zones_csv(_zones(spark, d), path)
@@ -429,6 +457,8 @@ def dq_file_manifest(spark, d):
 QUERIES: dict[str, Query] = {
     # sources / sinks
     "load_trips_typed": load_trips_typed,
+    "load_trips_mixed": load_trips_mixed,
+    "job_daily_mixed": job_daily_mixed,
     "load_zones_csv": load_zones_csv,
     "scan_glob": scan_glob,
     "rows_per_source_file": rows_per_source_file,

@@ -68,7 +68,7 @@ def run_from_files(spark: SparkSession, trip_dir: str, zone_csv_path: str, out_d
 
     if expected_files is not None:
         quality.validate_files(spark, trip_dir, trip_pattern, zone_csv_path, expected_files)
-    trips = load_trips(spark, f"{trip_dir.rstrip('/')}/{trip_pattern}", as_of=as_of)
+    trips = load_trips(spark, f"{trip_dir.rstrip('/')}/{trip_pattern}", as_of=as_of, strict=True)
     zones = load_zones(spark, zone_csv_path, as_of=as_of)
     return run(spark, trips, zones, out_dir, gate=gate)
 

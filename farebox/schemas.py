@@ -29,6 +29,10 @@ TRIP_FIELDS = [
     ("airport_fee", T.DoubleType(), "Airport_fee"),
 ]
 
+# Fields that files of some years lack; every other field is required of a strict load.
+OPTIONAL_FIELDS = {"congestion_surcharge", "Airport_fee"}
+REQUIRED_FIELDS = [f for _, _, f in TRIP_FIELDS if f not in OPTIONAL_FIELDS]
+
 RAW_TRIPS_SCHEMA = T.StructType(
     [T.StructField(name, dtype, True) for name, dtype, _ in TRIP_FIELDS]
     + [T.StructField("source_file", T.StringType(), True),

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions.numeric import to_int
-from farebox.schemas import TRIP_FIELDS
+from farebox.schemas import REQUIRED_FIELDS, TRIP_FIELDS
 
 _FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -71,12 +72,62 @@ def typed_trips(files: DataFrame, source_file: Column | None = None) -> DataFram
     return files.select(*cols)
 
 
+def _merged(spark: SparkSession, files: list[str]) -> DataFrame | None:
+    """The files under the fields of all their footers, which a Spark job reads;
+    None if a field's types differ between them."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*files)
+    except Exception as e:
+        # the session may pass on the reader's error as it is; all others go on
+        if "CANNOT_MERGE" not in str(e):
+            raise
+        return None
+
+
+def _agreeing(spark: SparkSession, files: list[str]) -> list[tuple[dict, list[str]]]:
+    """Stretches of the files whose types agree, with the types by field. Halving
+    costs a few jobs per change of layout, not one per file."""
+    df = _merged(spark, files)
+    if df is not None:
+        return [({f.name.lower(): f.dataType for f in df.schema.fields}, files)]
+    half = len(files) // 2
+    return _agreeing(spark, files[:half]) + _agreeing(spark, files[half:])
+
+
+def trip_layouts(spark: SparkSession, path: str | list[str]) -> list[DataFrame]:
+    """The trip files of a path, a glob or a list of them, one DataFrame for each
+    set of files whose field types agree; mostly that is one."""
+    paths = [path] if isinstance(path, str) else list(path)
+    df = _merged(spark, paths)
+    if df is not None:
+        return [df]
+    # one path per file, as the session's own file index holds them
+    names = spark.read.format("binaryFile").load(paths).select("path").collect()
+    sets: list[tuple[dict, list[str]]] = []
+    for types, files in _agreeing(spark, sorted(r["path"] for r in names)):
+        for held, members in sets:
+            if all(held.get(f, t) == t for f, t in types.items()):
+                held.update(types)
+                members.extend(files)
+                break
+        else:
+            sets.append((dict(types), list(files)))
+    return [_merged(spark, files) for _, files in sets]
+
+
 def load_trips(spark: SparkSession, path: str | list[str],
-               as_of: dt.datetime | str | None = None) -> DataFrame:
+               as_of: dt.datetime | str | None = None, strict: bool = False) -> DataFrame:
     """Raw trips table from trip files (a path, a glob such as
-    ``.../yellow_tripdata_2023-*.parquet``, or a list of them)."""
-    paths = [path] if isinstance(path, str) else list(path)
-    # fields of all footers, not of one: a field that only some files have would
-    # otherwise load as NULL for every file; types that differ are an error
-    files = spark.read.option("mergeSchema", "true").parquet(*paths)
-    return stamp_loaded_at(typed_trips(files), as_of)
+    ``.../yellow_tripdata_2023-*.parquet``, or a list of them).
+
+    Files may differ in their fields and in the types of them: every field is
+    cast to the table type. A field that a file lacks is NULL for its rows; with
+    ``strict`` a set of like files without a required field is an error."""
+    layouts = trip_layouts(spark, path)
+    if strict:
+        for df in layouts:
+            lacking = {f.lower() for f in REQUIRED_FIELDS} - {c.lower() for c in df.columns}
+            if lacking:
+                raise ValueError(f"trip files without {', '.join(sorted(lacking))}: "
+                                 f"{', '.join(df.inputFiles()[:3])}")
+    return stamp_loaded_at(reduce(DataFrame.unionByName, map(typed_trips, layouts)), as_of)

@@ -55,6 +55,25 @@ def test_field_that_only_some_files_have_is_loaded(spark, tmp_out):
     assert sorted(r.airport_fee or 0.0 for r in rows.collect()) == [0.0, 1.25]
 
 
+def test_files_whose_types_differ_are_loaded(spark, tmp_out):
+    def written(month, fields, row):
+        p = os.path.join(tmp_out, f"yellow_tripdata_2023-{month}.parquet")
+        spark.createDataFrame([row], fields).write.parquet(p)
+
+    written("01", "VendorID int, PULocationID int, passenger_count double", (1, 7, 2.5))
+    written("02", "VendorID bigint, PULocationID bigint, passenger_count bigint, Airport_fee double",
+            (1, 8, 3, 1.25))
+    written("03", "VendorID int, PULocationID int, passenger_count double, airport_fee double",
+            (1, 9, None, 0.5))
+    path = os.path.join(tmp_out, "*.parquet")
+    assert len(trip_files.trip_layouts(spark, path)) == 2
+    rows = trip_files.load_trips(spark, path, as_of="2024-01-01").collect()
+    assert sorted((r.pu_location_id, r.passenger_count, r.airport_fee) for r in rows) == [
+        (7, 3, None), (8, 3, 1.25), (9, None, 0.5)]
+    with pytest.raises(ValueError, match="trip_distance"):
+        trip_files.load_trips(spark, path, strict=True)
+
+
 def test_path_rounds_once(spark):
     df = spark.createDataFrame([('{"k":0.4999999}',), ('{"k":0.5}',), ('{"k":1.49}',)], "j string")
     assert [r[0] for r in df.select(semistructured.extract_path("j", "$.k", "int")).collect()] == [0, 1, 1]
