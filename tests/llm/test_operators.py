@@ -250,3 +250,10 @@ def test_pipeline(spark):
         assert out.columns == docs.columns, name
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_only_the_exact_dedup_has_sql():
+    import __spark_entry__ as entry
+    ours = {*queries.QUERIES, "pipeline"}
+    assert ours <= set(entry.queries())
+    assert ours & set(entry.oracle_sql()) == {"op8_exact_dedup"}
