@@ -13,6 +13,8 @@ array look-ups inside the scan: no paragraph is shuffled.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,12 +55,30 @@ TEMPLATES: list[tuple[str, str]] = [
     ("cc-by-nc", "Licensed under the Creative Commons Attribution-NonCommercial 4.0 License"),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced "
                     "without the prior written permission of the publisher"),
+    ("proprietary", "All rights reserved"),
 ]
 FAMILIES = [UNKNOWN, *sorted({f for f, _ in TEMPLATES})]
 
-#: Words that every template holds one of; a paragraph without any is unknown.
-CUES = ("licen[sc]e", "licen[sc]ed", "spdx", "permission", "redistribut", "rights reserved",
-        "creative commons", "cc by", "public license")
+#: Words of any prose. They neither bound a notice nor, if others do, are cues.
+COMMON = {"a", "and", "any", "are", "as", "be", "by", "in", "is", "it", "no", "not", "of", "or",
+          "that", "the", "this", "to", "under", "with", "without", "you"}
+#: Letter words of each template; digits of a version may differ.
+OWN = [sorted(set(re.findall(r"[a-z]+", body.lower()))) for _, body in TEMPLATES]
+
+
+def cues() -> list[str]:
+    """Words of which every paragraph that is confirmed holds one: of n words of a
+    template it holds k at least, so it holds one of any n - k + 1 of them."""
+    often = {w: sum(w in own for own in OWN) for own in OWN for w in own}
+    found = set()
+    for own in OWN:
+        k = next(k for k in range(len(own) + 1) if k / len(own) >= CONFIRMED)
+        ranked = sorted(own, key=lambda w: (w in COMMON, -often[w], -len(w), w))
+        found.update(ranked[:len(own) - k + 1])
+    return sorted(found)
+
+
+CUES = cues()
 
 
 def words(text: Column) -> Column:
@@ -91,8 +111,9 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                            "paragraph", "body")).where(F.length(F.trim("body")) > 0)
 
 
-def _cued(body: Column) -> Column:
-    return F.lower(body).rlike("|".join(CUES))
+def _cued(text: Column) -> Column:
+    """Whether a text holds a cue, as one of its ``words``."""
+    return F.lower(text).rlike(r"(?<![\p{L}\p{N}])(?:" + "|".join(CUES) + r")(?![\p{L}\p{N}])")
 
 
 def _adder(table: Column):
@@ -187,11 +208,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
 def _nearest_template(w: Column, family: Column) -> Column:
     """Largest share of a template's words that the paragraph holds, over the
     templates of the family."""
-    import re
     shares = []
-    for f, body in TEMPLATES:
-        # digits of a version may differ
-        own = sorted({x for x in re.findall(r"[a-z]+", body.lower())})
+    for (f, _), own in zip(TEMPLATES, OWN, strict=True):
         arr = F.array(*map(F.lit, own))
         shares.append(F.when(family == f, F.size(F.array_intersect(arr, w)) / len(own))
                       .otherwise(F.lit(0.0)))

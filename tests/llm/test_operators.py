@@ -242,6 +242,35 @@ def test_licences(spark):
     assert got == {(1, 1, "mit"), (4, 0, "apache"), (6, 0, "cc-by-nc")}
 
 
+NOTICES = {"Licensed under the Apache License, Version 2.0": "apache",
+           "Released under the MIT License": "mit", "Licensed under CC BY-NC 4.0": "cc-by-nc",
+           "This work is licensed under the GNU General Public License, version 3": "gpl",
+           "All rights reserved": "proprietary"}
+
+
+def test_licences_of_whole_documents(spark):
+    """Against a scan of all lines for the five forms; forms without a cue of old."""
+    sf = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    more = spark.createDataFrame([(-1, "Released under CC-BY-SA 4.0"), (-2, "All rights reserved."),
+                                  (-2, "All rights reserved."), (-3, "all the rights of the road")],
+                                 "doc_id long, text string")
+    want = collections.Counter({(-1, 0, "cc-by-sa"): 1, (-2, 0, "proprietary"): 2})
+    for i, text in sf.collect():
+        for k, line in enumerate((text or "").split("\n")):
+            for form, family in NOTICES.items():
+                if form in line:
+                    want[i, k, family] += line.count(form)
+    assert {f for _, _, f in want} >= set(NOTICES.values())
+    out = licences.scan(sf.union(more)).collect()
+    assert collections.Counter((r["doc_id"], r["paragraph"], r["family"]) for r in out) == want
+
+
+def test_licence_cues_let_all_pass_that_can_be_confirmed():
+    for own in licences.OWN:
+        least = next(k for k in range(len(own) + 1) if k / len(own) >= licences.CONFIRMED)
+        assert len(set(own) - set(licences.CUES)) < least
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF}/documents.parquet")
