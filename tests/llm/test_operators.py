@@ -271,6 +271,19 @@ def test_licence_cues_let_all_pass_that_can_be_confirmed():
         assert len(set(own) - set(licences.CUES)) < least
 
 
+def test_licences_in_wrapped_and_in_long_lines(spark):
+    gpl = next(t for f, t in licences.TEMPLATES if t.startswith("This program is free"))
+    wrapped = gpl.replace("under the ", "under the\n")
+    prose = " ".join(f"ord{k % 97}na the" for k in range(3000))
+    rows = [(1, f"x y\n\n{wrapped}\n\nend"), (2, f"{prose} {gpl} {prose}"), (3, prose),
+            (4, f"{prose} Released under the MIT License. {prose} All rights reserved. {prose}"),
+            (5, "prose of the matter\nReleased under the\nMIT License.")]
+    out = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["paragraph"], r["family"]) for r in out) == [
+        (1, 2, "gpl"), (2, 0, "gpl"), (4, 0, "mit"), (4, 0, "proprietary"), (5, 1, "mit")]
+    assert {r["body"] for r in out if r["doc_id"] == 1} == {wrapped}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF}/documents.parquet")
