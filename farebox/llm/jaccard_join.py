@@ -9,7 +9,8 @@ coordinates), and sends a set along each of them to the child named by its value
 force; larger ones are split again, and what is still large at the last level is
 compared in blocks, so nothing is dropped; so is a child that holds most of a
 large node, whose sets are then too alike to be split. As many independent runs are made as
-the target recall needs; they are rows of the same jobs.
+the target recall needs two splits below the first; they are rows of the same jobs. Sets of
+nodes that are split more often run again, until their runs suffice for the depth reached.
 
 The comparison of sketches is lenient and yields groups of candidates. Within a
 group all sets are then rebuilt from the texts and compared exactly, block by
@@ -113,8 +114,8 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
         run, "doc_id long, set_key binary, sketch binary")
 
 
-def _children(nodes: DataFrame, threshold: float, runs: int | None = None) -> DataFrame:
-    """Send each (node, rep, n, sketch) to its children; ``runs`` roots to start.
+def _children(nodes: DataFrame, threshold: float, runs: range | None = None) -> DataFrame:
+    """Send each (node, rep, n, sketch) to its children; to start, the roots of ``runs``.
     Children know the size of the node they come from."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coords = np.arange(COORDS, dtype=np.uint64)
@@ -125,10 +126,10 @@ def _children(nodes: DataFrame, threshold: float, runs: int | None = None) -> Da
             reps = b.column("rep").to_numpy()
             sk = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint32)
             sk = sk.reshape(len(b), COORDS)
-            roots = ([np.full(len(b), r + 1, np.uint64) for r in range(runs)] if runs else
-                     [b.column("node").to_numpy().view(np.uint64)])
+            roots = ([(r, np.full(len(b), r + 1, np.uint64)) for r in runs] if runs else
+                     [(0, b.column("node").to_numpy().view(np.uint64))])
             node, who = [], []
-            for at, root in enumerate(roots):
+            for at, root in roots:
                 if runs:
                     row, c = np.arange(len(b)), np.full(len(b), at)
                 else:
@@ -280,25 +281,37 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
         F.min("sketch").alias("sketch")), "jaccard-reps")
 
-    edges = None
-    nodes = _children(reps.withColumn("n", F.lit(2 ** 62)), threshold,
-                      runs_for(recall, threshold))
-    for level in range(levels):
-        sizes = nodes.groupBy("node").count().where("count > 1").withColumnRenamed("count", "n")
-        members = stored(nodes.join(sizes, "node").join(reps.select("rep", "sketch"), "rep"),
-                         "jaccard-nodes")
-        last = level == levels - 1
-        ends = (F.col("n") <= block) | (F.col("n") >= F.col("parent_n") * DENSE) | F.lit(last)
-        here = members.where(ends)
-        found = compare_blocks(
-            in_blocks(here.withColumnRenamed("node", "grp"), "sketch", block),
-            _by_sketch(threshold - LENIENT), "rep long, root long, links long", "array<binary>")
-        found = found.select("rep", "root").distinct()
-        edges = found if edges is None else edges.union(found)
-        large = members.where(~ends)
-        if last or large.isEmpty():
+    edges, some = None, reps
+    # splits below the first that the runs made so far allow for
+    made, wanted, depth = 0, runs_for(recall, threshold), 2
+    while made < wanted:
+        nodes = _children(some.withColumn("n", F.lit(2 ** 62)), threshold, range(made, wanted))
+        deep = None
+        for level in range(levels):
+            sizes = nodes.groupBy("node").count().where("count > 1").withColumnRenamed("count", "n")
+            members = stored(nodes.join(sizes, "node").join(reps.select("rep", "sketch"), "rep"),
+                             "jaccard-nodes")
+            last = level == levels - 1
+            ends = (F.col("n") <= block) | (F.col("n") >= F.col("parent_n") * DENSE) | F.lit(last)
+            here = members.where(ends)
+            found = compare_blocks(
+                in_blocks(here.withColumnRenamed("node", "grp"), "sketch", block),
+                _by_sketch(threshold - LENIENT), "rep long, root long, links long", "array<binary>")
+            found = found.select("rep", "root").distinct()
+            edges = found if edges is None else edges.union(found)
+            large = members.where(~ends)
+            if last or large.isEmpty():
+                break
+            if level >= 2:                     # deeper than the first runs allow for
+                depth = max(depth, level + 1)
+                deep = large.select("rep") if deep is None else deep.union(large.select("rep"))
+            nodes = _children(large, threshold)
+        if deep is None:
             break
-        nodes = _children(large, threshold)
+        # both sets of a pair that such a node parts are in it: they alone run again
+        made, wanted = wanted, runs_for(recall, threshold, depth)
+        if made < wanted:
+            some = stored(reps.join(deep.distinct(), "rep", "left_semi"), "jaccard-deep")
     groups = stored(connected_components(edges, "rep", "root"), "jaccard-groups")
 
     exact = _links_within(docs, id_col, text_col, size, threshold, reps, groups, block)

@@ -136,6 +136,36 @@ def test_jaccard(spark, odd, docs):
     assert jaccard_join.jaccard_join(odd.limit(0)).count() == 0
 
 
+def test_jaccard_recall_in_a_large_family(spark, monkeypatch):
+    """Half-alike texts, split below the second level, with near copies among them: as
+    many runs as the depth reached asks for."""
+    runs, splits, send = [0], [], jaccard_join._children
+
+    def children(nodes, threshold, more=None):
+        if more is None:
+            splits[-1] += 1
+        else:
+            splits.append(0)
+            runs[0] += more if isinstance(more, int) else len(more)
+        return send(nodes, threshold, more)
+
+    monkeypatch.setattr(jaccard_join, "_children", children)
+    rng = np.random.default_rng(5)
+    common = [f"c{k}" for k in range(60)]
+    rows = []
+    for k in range(300):
+        own = [f"w{x}" for x in rng.integers(0, 10 ** 9, 40)]
+        rows += [(2 * k, " ".join(common + own)), (2 * k + 1, " ".join(common + own[:-9] + [
+            f"n{k}x{j}" for j in range(9)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r for r in jaccard_join.jaccard_join(df, block=4).collect()}
+    want = {i: low for i, low, _ in _jaccard(rows)}
+    linked = [i for i, low in want.items() if low != i]
+    assert len(linked) == 300
+    assert sum(out[i]["class_id"] == want[i] for i in linked) >= 0.99 * len(linked)
+    assert max(splits) > 2 and runs[0] >= jaccard_join.runs_for(0.99, 0.8, max(splits))
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(60, 16))
