@@ -7,8 +7,9 @@ two partial partitions with the largest imbalance are merged, the fullest bin of
 one onto the emptiest of the other, until one partition is left. W starts at
 the least possible count and rises whenever a window would exceed the capacity.
 
-Groups are consecutive rows of an input partition, so nothing is shuffled, one
-group is all a task holds, and a lost task repeats its own rows only. Sequence
+Groups are consecutive rows of an input partition, closed by their number or their
+ids, so nothing is shuffled, one group is all a task holds, and a lost task repeats
+its own rows only. Sequence
 ids carry the partition number in their high bits and are unique.
 """
 
@@ -17,7 +18,6 @@ from __future__ import annotations
 import heapq
 import re
 import sys
-import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -32,11 +32,12 @@ from farebox.llm.common import per_worker, small_arrow_batches
 CAPACITY = 1024
 PART = 256
 GROUP_DOCS = 512
+GROUP_IDS = 2_000_000     # a group ends with the document that reaches this
 CACHE_WORDS = 300_000
-PACK_SCHEMA = ("doc_id long, start long, length long, ids array<int>, doc_tokens long, "
+PACK_SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
                "sequence_id long, offset long")
 _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
-                    ("ids", pa.list_(pa.int32())), ("doc_tokens", pa.int64()),
+                    ("ids", pa.binary()), ("doc_tokens", pa.int64()),
                     ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
@@ -147,9 +148,9 @@ def _pack_group(docs: list[tuple], first_seq: int, capacity: int, part: int
                 ) -> tuple[pa.RecordBatch, int]:
     rows, loose = [], []
     seq = first_seq
-    for doc_id, ids in docs:
-        for start, length in _cut(len(ids), capacity, part):
-            piece = (doc_id, start, length, ids[start:start + length], len(ids))
+    for doc_id, ids, tokens in docs:
+        for start, length in _cut(tokens, capacity, part):
+            piece = (doc_id, start, length, ids[4 * start:4 * (start + length)], tokens)
             if length == capacity:
                 rows.append((*piece, seq, 0))
                 seq += 1
@@ -162,18 +163,15 @@ def _pack_group(docs: list[tuple], first_seq: int, capacity: int, part: int
                 rows.append((*loose[n], seq, at))
                 at += loose[n][2]
             seq += 1
-    cols = list(zip(*rows, strict=True))
-    arrays = [pa.array(c, f.type) for c, f in zip(cols, _ARROW, strict=True) if f.name != "ids"]
-    flat = np.concatenate([*cols[3]])
-    ends = np.concatenate([[0], np.cumsum(cols[2])]).astype(np.int32)
-    arrays.insert(3, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int32))))
+    arrays = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=_ARROW), seq
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
          capacity: int = CAPACITY, part: int = PART, end_id: int = 0) -> DataFrame:
     """One row per piece of a document: where it starts in the document, its
-    ids, its sequence and its offset there.
+    ids (little-endian unsigned 32-bit numbers, as files of tokens hold them), its
+    sequence and its offset there.
 
     A null or empty text is the single id ``end_id``; a null id is kept as null;
     repeated rows are packed once each; an empty table gives no rows; columns
@@ -182,14 +180,16 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         bpe = per_worker("byte_bpe " + tokenizer_path, lambda: ByteBpe(tokenizer_path))
         seq = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         held: list[tuple] = []
+        size = 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = bpe.encode(text.as_py() or "")
                 ids.append(end_id)
-                held.append((doc_id, np.array(ids, np.uint32)))
-                if len(held) >= GROUP_DOCS:
+                held.append((doc_id, np.array(ids, "<u4").tobytes(), len(ids)))
+                size += len(ids)
+                if len(held) >= GROUP_DOCS or size >= GROUP_IDS:
                     out, seq = _pack_group(held, seq, capacity, part)
-                    held = []
+                    held, size = [], 0
                     yield out
         if held:
             yield _pack_group(held, seq, capacity, part)[0]
@@ -201,23 +201,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
 
 def with_ids_crc32(packed: DataFrame) -> DataFrame:
-    """Replace ``ids`` by ``ids_crc32``: CRC-32 of the ids as little-endian
-    unsigned 32-bit numbers."""
-    fields = [f for f in _ARROW if f.name != "ids"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column(b.schema.get_field_index("ids"))
-            marks = ids.offsets.to_numpy()
-            data = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-            crc = [zlib.crc32(data[4 * a:4 * z]) for a, z in zip(marks, marks[1:], strict=False)]
-            cols = [b.column(b.schema.get_field_index(f.name)) for f in fields]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(crc, pa.int64())],
-                                             names=[*(f.name for f in fields), "ids_crc32"])
-
-    schema = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
-              "offset long, ids_crc32 long")
-    return packed.mapInArrow(run, schema)
+    """Replace ``ids`` by ``ids_crc32``: CRC-32 of the ids' bytes."""
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

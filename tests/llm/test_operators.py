@@ -324,8 +324,8 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
-def test_only_the_exact_dedup_has_sql():
+def test_which_operators_have_sql():
     import __spark_entry__ as entry
     ours = {*queries.QUERIES, "pipeline"}
     assert ours <= set(entry.queries())
-    assert ours & set(entry.oracle_sql()) == {"op8_exact_dedup"}
+    assert ours & set(entry.oracle_sql()) == {"op8_exact_dedup", "op12_topk"}
