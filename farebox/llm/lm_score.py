@@ -1,11 +1,14 @@
 """Stupid-backoff scores from n-gram counts of the whole corpus.
 
-Documents are read in chunks. A chunk sends each of its distinct n-grams once,
-with its count, to the bucket that owns the n-gram's hash; a bucket adds up the
-counts of all chunks and answers every chunk with the totals, in the order that
-the chunk sent them. This is a hash join of the count table with the exploded
-n-grams whose rows travel as arrays, counted before they are shuffled, so a very
-common n-gram costs one entry per chunk. Each chunk then scores its documents.
+Documents are read in chunks, which are dealt out once. A chunk sends each of its
+distinct n-grams with its count to the bucket that owns the n-gram's hash; a bucket
+adds up the counts of all chunks and answers a chunk with the totals that differ
+from its own counts, by their place among what the chunk sent. Most long n-grams
+occur in one chunk only and need no answer. This is a hash join of the count table
+with the exploded n-grams whose rows travel as arrays, counted before they are
+shuffled, so a very common n-gram costs one entry per chunk. Each chunk then scores
+its documents by the counts of all others: a document's own occurrences are
+taken off.
 """
 
 from __future__ import annotations
@@ -22,11 +25,12 @@ from pyspark.sql import functions as F
 from farebox.llm.common import mix64, small_arrow_batches, stored
 from farebox.llm.jaccard_join import _numbers
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
-MIN_COUNT = 2              # n-grams of two and more words below this count as unseen
-CHUNK_WORDS = 600_000      # a chunk ends with the document that reaches this
-BUCKET_ENTRIES = 1_000_000
+MIN_COUNT = 1              # n-grams of two and more words below this count as unseen
+CHUNK_WORDS = 2_000_000    # a chunk ends with the document that reaches this
+BUCKET_ENTRIES = 2_000_000  # about so many counts of chunks meet in a bucket
+BYTES_A_WORD = 6
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -62,54 +66,64 @@ def ngrams(words: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.
     return h, there
 
 
-def _distinct(words: np.ndarray, ends: np.ndarray, order: int) -> tuple:
-    """Sorted distinct n-grams of all orders with their counts, and for each order
-    the place of every word's n-gram among them (-1: none ends there)."""
-    found = [ngrams(words, ends, n) for n in range(1, order + 1)]
-    flat = np.concatenate([h[t] for h, t in found]) if len(words) else np.empty(0, np.uint64)
-    keys, back, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    places, at = [], 0
-    for _, there in found:
-        p = np.full(len(words), -1)
-        size = int(there.sum())
-        p[there] = back[at:at + size]
-        at += size
-        places.append(p)
+def _distinct(h: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct n-grams of one order with their counts, and the place of every
+    word's n-gram among them (-1: none ends there)."""
+    keys, back, counts = np.unique(h[there], return_inverse=True, return_counts=True)
+    places = np.full(len(h), -1)
+    places[there] = back
     return keys, counts, places
 
 
-def _marks(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Bounds of each bucket's stretch of the sorted hashes: a bucket owns a range."""
-    edges = [np.uint64((b << 64) // buckets) for b in range(1, buckets)]
-    return np.concatenate([[0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)]])
+def _marks(keys: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of sorted hashes, by their first bits, and where each begins."""
+    first = keys >> np.uint64(shift) if shift < 64 else np.zeros(len(keys), np.uint64)
+    buckets, at = np.unique(first, return_index=True)
+    return buckets.astype(np.int64), np.append(at, len(keys))
 
 
-def score_words(places: list[np.ndarray], totals: np.ndarray, all_words: int,
-                alpha: float = ALPHA, min_count: int = MIN_COUNT) -> np.ndarray:
-    """Log score of every word: the longest n-gram that is seen often enough over
-    its context; alpha for every order stepped down."""
-    counts = [np.where(p >= 0, totals[p], 0) for p in places]
-    out = np.log(np.maximum(counts[0], 1) / max(all_words, 1))
-    usable = [p >= 0 for p in places]
-    for n in range(2, len(places) + 1):
+def own_counts(places: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """How often the n-gram that ends at a word occurs in the word's document."""
+    out = np.zeros(len(places), np.int64)
+    there = np.nonzero(places >= 0)[0]
+    if len(there):
+        _, back, n = np.unique(documents[there] * (int(places.max()) + 1) + places[there],
+                               return_inverse=True, return_counts=True)
+        out[there] = n[back]
+    return out
+
+
+def score_words(counts: list[np.ndarray], usable: list[np.ndarray], alpha: float = ALPHA,
+                min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray]:
+    """Log score of every word, by the longest n-gram that is seen often enough over
+    its context, alpha for every order stepped down; and whether it is a single
+    word's count, which is still to be divided by the number of all words."""
+    out = np.log(np.maximum(counts[0], 1))
+    single = np.ones(len(out), bool)
+    for n in range(2, len(counts) + 1):
         c, context = counts[n - 1], np.roll(counts[n - 2], 1)
-        seen = usable[n - 1] & (c >= min_count)
-        down = out + np.log(alpha)
+        seen = usable[n - 1] & (c >= max(min_count, 1))
         up = np.log(np.maximum(c, 1) / np.maximum(context, 1))
-        out = np.where(seen, up, np.where(usable[n - 1], down, out))
-    return out
+        out = np.where(seen, up, np.where(usable[n - 1], out + np.log(alpha), out))
+        single &= ~seen
+    return out, single
 
 
 def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
-             alpha: float = ALPHA, min_count: int = MIN_COUNT,
-             chunk_words: int = CHUNK_WORDS) -> DataFrame:
+             alpha: float = ALPHA, min_count: int = MIN_COUNT, leave_own: bool = True,
+             chunk_words: int = CHUNK_WORDS, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
     """One row per input row: doc_id, n_words, log_score (sum over the words),
     mean_log_score (null without words).
 
     Words are parted by white space; counts cover all rows, each repeated row
-    too. Null and empty texts have no words and score 0; null ids are kept; an
+    too. With ``leave_own`` the n-grams of a row are counted in all other rows,
+    else in its own as well. A word that is counted nowhere scores as if it were
+    once. Null and empty texts have no words and score 0; null ids are kept; an
     empty table gives none; other columns are ignored."""
     small_arrow_batches(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+    bits = max(0, int(size * order // (BYTES_A_WORD * bucket_entries))).bit_length()
+    shift = 64 - bits
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = (TaskContext.get().partitionId()) << 32
@@ -126,65 +140,87 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", or
         if ids:
             yield _chunk_row(chunk, ids, texts)
 
-    chunks = stored(docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        pack, "chunk long, ids array<long>, ends binary, vocab binary, words binary, n long"),
-        "lm-chunks")
-    all_words = chunks.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, -(-all_words * order // BUCKET_ENTRIES))
+    # both uses below ask for all columns, so they share one exchange
+    chunks = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
+        pack, "chunk long, ids array<long>, ends binary, vocab binary, words binary"
+    ).repartition("chunk")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(len(b)):
                 words, ends = _unpack(b, k)
-                keys, counts, _ = _distinct(words, ends, order)
-                marks = _marks(keys, buckets)
-                full = np.nonzero(np.diff(marks))[0]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(full, pa.int32()), pa.array([b.column(0)[k].as_py()] * len(full)),
-                    pa.array([steps(keys[marks[j]:marks[j + 1]]) for j in full], pa.binary()),
-                    pa.array([planes(counts[marks[j]:marks[j + 1]].astype(np.uint32))
-                              for j in full], pa.binary())],
-                    names=["bucket", "chunk", "keys", "counts"])
+                for n in range(1, order + 1):
+                    keys, counts, _ = _distinct(*ngrams(words, ends, n))
+                    buckets, at = _marks(keys, shift)
+                    cuts = list(zip(at, at[1:], strict=False))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(buckets), pa.array([b.column(0)[k].as_py()] * len(buckets),
+                                                    pa.int64()),
+                        pa.array([n] * len(buckets), pa.int32()),
+                        pa.array([steps(keys[a:z]) for a, z in cuts], pa.binary()),
+                        pa.array([planes(counts[a:z].astype(np.uint32)) for a, z in cuts],
+                                 pa.binary())], names=["bucket", "chunk", "n", "keys", "counts"])
 
     def total(table: pa.Table) -> pa.Table:
         keys = [unsteps(x.as_py()) for x in table.column("keys")]
-        counts = np.concatenate([unplanes(x.as_py(), np.uint32)
-                                 for x in table.column("counts")])
+        counts = [unplanes(x.as_py(), np.uint32).astype(np.int64) for x in table.column("counts")]
         _, back = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(back, counts).astype(np.int64)[back]
-        at = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
-                         "sums": pa.array([planes(sums[a:z]) for a, z in
-                                           zip(at, at[1:], strict=False)], pa.binary())})
-
-    sent = chunks.select("chunk", "ends", "vocab", "words").mapInArrow(
-        send, "bucket int, chunk long, keys binary, counts binary")
-    answers = sent.groupBy("bucket").applyInArrow(total, "chunk long, bucket int, sums binary")
-    by_chunk = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(
-        F.struct("bucket", "sums"))).alias("answers"))
+        sums = np.bincount(back, np.concatenate(counts)).astype(np.int64)[back]
+        marks = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
+        rows = []
+        for k, own in enumerate(counts):
+            theirs = sums[marks[k]:marks[k + 1]]
+            at = np.nonzero(theirs != own)[0]
+            rows.append((steps(at.astype(np.uint64)), planes(theirs[at])) if len(at) else None)
+        some = pa.array([r is not None for r in rows])
+        named = table.select(["chunk", "n", "bucket"]).filter(some)
+        kept = [r for r in rows if r is not None]
+        for c, name in enumerate(("at", "sums")):
+            named = named.append_column(name, pa.array([r[c] for r in kept], pa.binary()))
+        return named
+
+    sent = chunks.mapInArrow(send, "bucket long, chunk long, n int, keys binary, counts binary")
+    answers = sent.groupBy("bucket").applyInArrow(
+        total, "chunk long, n int, bucket long, at binary, sums binary")
+    by_chunk = answers.groupBy("chunk").agg(
+        F.collect_list(F.struct("n", "bucket", "at", "sums")).alias("answers"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(len(b)):
                 words, ends = _unpack(b, k)
-                _, _, places = _distinct(words, ends, order)
-                got = b.column("answers")[k].as_py() or []
-                totals = np.concatenate([np.empty(0, np.int64),
-                                         *(unplanes(a["sums"], np.int64) for a in got)])
-                each = (score_words(places, totals, all_words, alpha, min_count)
-                        if len(words) else np.zeros(0))
                 starts = np.concatenate([[0], ends[:-1]])
-                n = ends - starts
-                sums = np.array([each[a:z].sum() for a, z in zip(starts, ends, strict=True)])
+                documents = np.repeat(np.arange(len(ends)), ends - starts)
+                got = {(a["n"], a["bucket"]): (a["at"], a["sums"])
+                       for a in b.column("answers")[k].as_py() or []}
+                counts, usable = [], []
+                for n in range(1, order + 1):
+                    keys, sums, places = _distinct(*ngrams(words, ends, n))
+                    for bucket, first in zip(*_marks(keys, shift), strict=False):
+                        if (n, bucket) in got:
+                            at, more = got[n, bucket]
+                            sums[first + unsteps(at).astype(np.int64)] = unplanes(more, np.int64)
+                    c = np.where(places >= 0, sums[places], 0) if len(sums) else np.zeros(
+                        len(places), np.int64)
+                    counts.append(c - own_counts(places, documents) if leave_own else c)
+                    usable.append(places >= 0)
+                each, single = score_words(counts, usable, alpha, min_count)
+                upto = np.concatenate([[0.0], np.cumsum(each)])
+                singles = np.concatenate([[0], np.cumsum(single)])
                 yield pa.RecordBatch.from_arrays([
-                    b.column("ids")[k].values, pa.array(n, pa.int64()),
-                    pa.array(sums, pa.float64()),
-                    pa.array(sums / np.maximum(n, 1), pa.float64(), mask=n == 0)],
-                    names=["doc_id", "n_words", "log_score", "mean_log_score"])
+                    b.column("ids")[k].values, pa.array(ends - starts, pa.int64()),
+                    pa.array(upto[ends] - upto[starts]),
+                    pa.array(singles[ends] - singles[starts], pa.int64())],
+                    names=["doc_id", "n_words", "part", "singles"])
 
-    return chunks.join(by_chunk, "chunk", "left").select(
+    scored = stored(chunks.join(by_chunk, "chunk", "left").select(
         "chunk", "ids", "ends", "vocab", "words", "answers").mapInArrow(
-        finish, "doc_id long, n_words long, log_score double, mean_log_score double")
+        finish, "doc_id long, n_words long, part double, singles long"), "lm-scored")
+    all_words = scored.agg(F.sum("n_words")).first()[0] or 0
+    others = F.lit(all_words) - (F.col("n_words") if leave_own else F.lit(0))
+    log_score = F.col("part") - F.col("singles") * F.log(F.greatest(others, F.lit(1)))
+    return scored.select("doc_id", "n_words", log_score.alias("log_score"), F.when(
+        F.col("n_words") > 0, log_score / F.col("n_words")).alias("mean_log_score"))
 
 
 def _chunk_row(chunk: int, ids: list, texts: list[np.ndarray]) -> pa.RecordBatch:
@@ -195,9 +231,8 @@ def _chunk_row(chunk: int, ids: list, texts: list[np.ndarray]) -> pa.RecordBatch
         pa.array([chunk], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
         pa.array([ends.astype(np.int64).tobytes()], pa.binary()),
         pa.array([steps(vocab)], pa.binary()),
-        pa.array([planes(words.astype(np.uint32))], pa.binary()),
-        pa.array([int(ends[-1])], pa.int64())],
-        names=["chunk", "ids", "ends", "vocab", "words", "n"])
+        pa.array([planes(words.astype(np.uint32))], pa.binary())],
+        names=["chunk", "ids", "ends", "vocab", "words"])
 
 
 def _unpack(b: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,7 +2,9 @@
 nulls, empty and long texts, repeats, ties, empty tables, clashing names."""
 
 import collections
+import contextlib
 import hashlib
+import io
 import json
 import zlib
 
@@ -13,6 +15,7 @@ from tokenizers import Tokenizer
 
 from farebox.llm import (chat_format, exact_dedup, jaccard_join, licences, lm_score, packing,
                          quality, queries, vectors, word_codec, wrappers)
+from farebox.llm.common import stored
 
 SF = "/root/testdata/sf0.001"
 LONG = "lorem ipsum dolor sit amet " * 4000
@@ -205,7 +208,7 @@ def test_word_codec(spark, odd):
 
 
 def test_lm_score(spark, odd):
-    out = lm_score.lm_score(odd, chunk_words=10).collect()
+    out = lm_score.lm_score(odd, order=2, min_count=2, leave_own=False, chunk_words=10).collect()
     uni, bi, n = collections.Counter(), collections.Counter(), 0
     for _, t in ODD:
         w = (t or "").split()
@@ -224,6 +227,65 @@ def test_lm_score(spark, odd):
     assert len(out) == len(ODD) and lm_score.lm_score(odd.limit(0)).count() == 0
 
 
+def _backoff(rows, order, leave_own):
+    """Stupid backoff by plain counters, each row scored by the others' counts."""
+    def grams(w):
+        return collections.Counter(tuple(w[k:k + n]) for n in range(1, order + 1)
+                                   for k in range(len(w) - n + 1))
+    texts = [(i, (t or "").split()) for i, t in rows]
+    total = sum((grams(w) for _, w in texts), collections.Counter())
+    words = sum(len(w) for _, w in texts)
+    out = []
+    for i, w in texts:
+        own = grams(w) if leave_own else {}
+        count = lambda g: total[g] - own.get(g, 0)
+        s = 0.0
+        for k in range(len(w)):
+            for n in range(min(order, k + 1), 0, -1):
+                g = tuple(w[k + 1 - n:k + 1])
+                if n == 1:
+                    s += np.log(max(count(g), 1) / max(words - len(w) * leave_own, 1))
+                elif count(g) >= 1:
+                    s += np.log(count(g) / count(g[:-1]))
+                    break
+                else:
+                    s += np.log(0.4)
+        out.append((i, len(w), s))
+    return out
+
+
+@pytest.mark.parametrize("leave_own,order", [(True, 3), (False, 3), (True, 4), (True, 1)])
+def test_lm_score_of_documents(spark, odd, docs, leave_own, order):
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    for df, rows in ((table, docs), (odd, ODD)):
+        want = collections.defaultdict(list)
+        for i, n, s in _backoff(rows, order, leave_own):
+            want[i].append((n, s))
+        out = lm_score.lm_score(df, order=order, leave_own=leave_own, chunk_words=5000,
+                                bucket_entries=3000).collect()
+        assert len(out) == len(rows)
+        for r in out:
+            assert any(r["n_words"] == n and abs(r["log_score"] - s) < 1e-6 * max(1, abs(s))
+                       for n, s in want[r["doc_id"]])
+            assert (r["mean_log_score"] is None) == (r["n_words"] == 0)
+
+
+def test_lm_chunks_are_dealt_out_once(spark, odd, monkeypatch):
+    plans = []
+
+    def look(df, name):
+        df.collect()
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain()
+        plans.append(out.getvalue().split("Initial Plan")[0])
+        return stored(df, name)
+
+    monkeypatch.setattr(lm_score, "stored", look)
+    lm_score.lm_score(odd)
+    assert plans[0].count("MapInArrow pack") == 1 and "ReusedExchange" in plans[0]
+
+
 def test_wrappers(spark):
     page = ("<html><head><title>t</title><script>var a='<p>no</p>'</script></head><body>"
             "<div class='cookie-notice'>We use cookies</div><nav><a href=/>Home</a></nav>"
