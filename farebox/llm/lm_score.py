@@ -28,20 +28,23 @@ from farebox.llm.jaccard_join import _numbers
 ORDER = 3
 ALPHA = 0.4
 MIN_COUNT = 1              # n-grams of two and more words below this count as unseen
-CHUNK_WORDS = 2_000_000    # a chunk ends with the document that reaches this
-BUCKET_ENTRIES = 2_000_000  # about so many counts of chunks meet in a bucket
+CHUNK_WORDS = 1_000_000    # a chunk ends with the document that reaches this
+BUCKET_ENTRIES = 1_000_000  # about so many counts of chunks meet in a bucket
 BYTES_A_WORD = 6
+KEY_BITS = 56              # words and n-grams are told apart by so many bits of a hash
 
 
 def planes(x: np.ndarray) -> bytes:
-    """Numbers as their first bytes, then their second bytes and so on: the empty
-    upper bytes of small numbers lie together and compress to nothing."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+    """Numbers as their first bytes, then their second bytes and so on, compressed:
+    the empty upper bytes of small numbers lie together and come to nothing."""
+    flat = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+    return len(flat).to_bytes(8, "little") + pa.compress(flat, codec="zstd", asbytes=True)
 
 
 def unplanes(data: bytes, kind) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    flat = np.frombuffer(data, np.uint8).reshape(size, -1)
+    plain = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    flat = np.frombuffer(plain, np.uint8).reshape(size, -1)
     return np.ascontiguousarray(flat.T).view(kind).ravel()
 
 
@@ -63,7 +66,7 @@ def ngrams(words: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.
     h = np.full(len(words), n, np.uint64)
     for back in range(n - 1, -1, -1):
         h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + np.roll(words, back))
-    return h, there
+    return h >> np.uint64(64 - KEY_BITS), there
 
 
 def _distinct(h: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,8 +80,7 @@ def _distinct(h: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def _marks(keys: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of sorted hashes, by their first bits, and where each begins."""
-    first = keys >> np.uint64(shift) if shift < 64 else np.zeros(len(keys), np.uint64)
-    buckets, at = np.unique(first, return_index=True)
+    buckets, at = np.unique(keys >> np.uint64(shift), return_index=True)
     return buckets.astype(np.int64), np.append(at, len(keys))
 
 
@@ -123,14 +125,14 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", or
     small_arrow_batches(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     bits = max(0, int(size * order // (BYTES_A_WORD * bucket_entries))).bit_length()
-    shift = 64 - bits
+    shift = KEY_BITS - bits
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = (TaskContext.get().partitionId()) << 32
         ids, texts, size = [], [], 0
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                w = _numbers((t.as_py() or "").split())
+                w = _numbers((t.as_py() or "").split()) >> np.uint64(64 - KEY_BITS)
                 ids.append(i)
                 texts.append(w)
                 size += len(w)
@@ -142,7 +144,7 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", or
 
     # both uses below ask for all columns, so they share one exchange
     chunks = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        pack, "chunk long, ids array<long>, ends binary, vocab binary, words binary"
+        pack, "chunk long, ids array<long>, ends binary, vocab binary, numbers binary, words binary"
     ).repartition("chunk")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +216,7 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", or
                     names=["doc_id", "n_words", "part", "singles"])
 
     scored = stored(chunks.join(by_chunk, "chunk", "left").select(
-        "chunk", "ids", "ends", "vocab", "words", "answers").mapInArrow(
+        "chunk", "ids", "ends", "vocab", "numbers", "words", "answers").mapInArrow(
         finish, "doc_id long, n_words long, part double, singles long"), "lm-scored")
     all_words = scored.agg(F.sum("n_words")).first()[0] or 0
     others = F.lit(all_words) - (F.col("n_words") if leave_own else F.lit(0))
@@ -224,21 +226,27 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", or
 
 
 def _chunk_row(chunk: int, ids: list, texts: list[np.ndarray]) -> pa.RecordBatch:
-    """A chunk as one row: its words as numbers into its own vocabulary."""
-    vocab, words = np.unique(np.concatenate(texts), return_inverse=True)
+    """A chunk as one row: its words as numbers into its own vocabulary, in which
+    frequent words come first, so that most numbers are small."""
+    vocab, words, n = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
+    frequent = np.argsort(-n, kind="stable")
+    number = np.empty(len(vocab), np.uint32)
+    number[frequent] = np.arange(len(vocab), dtype=np.uint32)
     ends = np.cumsum([len(t) for t in texts])
     return pa.RecordBatch.from_arrays([
         pa.array([chunk], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-        pa.array([ends.astype(np.int64).tobytes()], pa.binary()),
+        pa.array([planes(ends.astype(np.int64))], pa.binary()),
         pa.array([steps(vocab)], pa.binary()),
-        pa.array([planes(words.astype(np.uint32))], pa.binary())],
-        names=["chunk", "ids", "ends", "vocab", "words"])
+        pa.array([planes(number)], pa.binary()),
+        pa.array([planes(number[words])], pa.binary())],
+        names=["chunk", "ids", "ends", "vocab", "numbers", "words"])
 
 
 def _unpack(b: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
     get = lambda c: b.column(c)[k].as_py()
-    vocab = unsteps(get("vocab"))
-    return vocab[unplanes(get("words"), np.uint32)], np.frombuffer(get("ends"), np.int64)
+    vocab = np.empty_like(sorted_vocab := unsteps(get("vocab")))
+    vocab[unplanes(get("numbers"), np.uint32)] = sorted_vocab
+    return vocab[unplanes(get("words"), np.uint32)], unplanes(get("ends"), np.int64)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
