@@ -19,7 +19,6 @@ import heapq
 import re
 import sys
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,6 @@ CAPACITY = 1024
 PART = 256
 GROUP_DOCS = 512
 GROUP_IDS = 2_000_000     # a group ends with the document that reaches this
-CACHE_WORDS = 300_000
 PACK_SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
                "sequence_id long, offset long")
 _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
@@ -87,10 +85,7 @@ def windows(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 class ByteBpe:
-    """Ids of the byte-level vocabulary: exactly those of its tokenizer file.
-
-    A pre-token never holds a space after another character, so a text may be
-    encoded piece by piece between single spaces, each distinct piece once."""
+    """Ids of the byte-level vocabulary: exactly those of its tokenizer file."""
 
     def __init__(self, tokenizer_path: str):
         import json
@@ -109,27 +104,14 @@ class ByteBpe:
         self.encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks,
                                           special_tokens={})
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.cache: dict[str, list[int]] = {}
-        self.odd = re.compile(r"\s \s")
-
-    def _plain(self, text: str) -> list[int]:
-        if text[-1:].isspace() or self.odd.search(text):
-            return self.encoding.encode_ordinary(text)
-        first, *pieces = text.split(" ")
-        cache, encode = self.cache, self.encoding.encode_ordinary
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        for p in set(pieces).difference(cache):
-            cache[p] = encode(" " + p)
-        return encode(first) + list(chain.from_iterable(map(cache.__getitem__, pieces)))
-
-    def encode(self, text: str) -> list[int]:
+
+    def encode(self, text: str) -> np.ndarray:
         if not self.special or not self.at_special.search(text):
-            return self._plain(text)
-        out: list[int] = []
-        for part in self.at_special.split(text):
-            out += [self.special[part]] if part in self.special else self._plain(part)
-        return out
+            return self.encoding.encode_to_numpy(text, disallowed_special=())
+        return np.concatenate([
+            np.array([self.special[part]], np.uint32) if part in self.special
+            else self.encoding.encode_to_numpy(part, disallowed_special=())
+            for part in self.at_special.split(text)])
 
 
 def _cut(n: int, capacity: int, part: int) -> list[tuple[int, int]]:
@@ -183,9 +165,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         size = 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = bpe.encode(text.as_py() or "")
-                ids.append(end_id)
-                held.append((doc_id, np.array(ids, "<u4").tobytes(), len(ids)))
+                ids = np.append(bpe.encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
+                held.append((doc_id, ids.tobytes(), len(ids)))
                 size += len(ids)
                 if len(held) >= GROUP_DOCS or size >= GROUP_IDS:
                     out, seq = _pack_group(held, seq, capacity, part)
