@@ -300,6 +300,96 @@ def test_wrappers(spark):
         assert got[n] == f"T{n}\n\nA & b{n} c d\n\nE\n\nx\n\ny"
     assert got[6] == got[7] == "" and got[None] == "x"
     assert wrappers.extract_pages(df.limit(0)).count() == 0
+    clash = df.select("*", F.lit("x").alias("host"), F.lit("y").alias("text"), F.lit(1).alias("menus"),
+                      F.lit(2).alias("n"), F.lit(3).alias("slot"))
+    assert {r["page_id"]: r["text"] for r in wrappers.extract_pages(clash).collect()} == got
+
+
+def _host_texts(spark, htmls):
+    rows = [(n, f"http://host.example/{n}", h) for n, h in enumerate(htmls)]
+    out = wrappers.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return [r["text"] for r in sorted(out.collect())]
+
+
+def test_shared_openings_stay(spark):
+    opening = "The same standard intro of some length opens the story here. " * 5
+    pages = [f"<div class='article'><p>{opening} Tail {n}.</p><p>Own words {n}</p></div>"
+             for n in range(12)]
+    assert _host_texts(spark, pages) == [
+        f"{opening.strip()} Tail {n}.\n\nOwn words {n}" for n in range(12)]
+
+
+def test_names_inside_articles(spark):
+    page = ("<article><p>The <b class='side'>left side</b> of it {n}</p><h2 id='related'>Related work"
+            " {n}</h2><div class='side-effects'>Effects {n}</div><div class='legal'>Law {n}</div>"
+            "<div class='ad'>Buy</div><div class='related-posts'><a href=/>Other {n}</a></div>"
+            "<p class='share'>Share this</p></article><div class='story'>More {n}</div>"
+            "<div class='footer-links'>End</div><p>Loose</p>")
+    assert _host_texts(spark, [page.format(n=n) for n in range(5)]) == [
+        f"The left side of it {n}\n\nRelated work {n}\n\nEffects {n}\n\nLaw {n}\n\nMore {n}"
+        for n in range(5)]
+
+
+def test_fixed_lines_go_inside_and_outside_of_articles(spark):
+    line = "Get our letter every Monday"
+    inside = [f"<article><p>Text {n}</p><p>{line}</p></article>" for n in range(12)]
+    assert _host_texts(spark, inside) == [f"Text {n}" for n in range(12)]
+    outside = [f"<div><p>Text {n}</p><p>{line}</p></div>" if n % 2 else f"<div><p>Text {n}</p></div>"
+               for n in range(12)]
+    assert _host_texts(spark, outside) == [f"Text {n}" for n in range(12)]
+    # copies of one page are one page, and a page of fixed texts only keeps them
+    copies = ["<article><p>The whole story</p></article>"] * 20
+    assert _host_texts(spark, copies) == ["The whole story"] * 20
+    few = [f"<article><p>Text {n}</p><p>Said by many</p></article>" if n < 8 else
+           f"<article><p>Text {n}</p></article>" for n in range(12)]
+    assert _host_texts(spark, few)[0] == "Text 0\n\nSaid by many"
+
+
+def test_menus_are_learnt_from_the_host(spark):
+    page = ("<div class='x'><a href=1>One</a> <a href=2>Two {n}</a></div><div class='y'><p>Prose {n} "
+            "with <a href=3>a link</a> in it</p></div>")
+    assert _host_texts(spark, [page.format(n=n) for n in range(6)]) == [
+        f"Prose {n} with a link in it" for n in range(6)]
+
+
+def test_deep_wide_and_long_pages(spark):
+    import time
+    deep = ["<div>" * 3000 + "deep" + "</div>" * 3000, "<b>" * 3000 + "bold", "<a href=x>" * 3000 + "link",
+            "<div><b>" * 2000 + "mixed" + "</x>" * 2000, "<ul><li>" * 1500 + "list"]
+    wide = "<article>" + "".join(f"<h2>H{k}</h2><p>P{k}</p>" for k in range(4000)) + "</article>"
+    long = "<article><p>" + "word " * 400_000 + "</p></article>"
+    began = time.time()
+    assert _host_texts(spark, [*deep, wide, long]) == [
+        "deep", "bold", "link", "mixed", "list",
+        "\n\n".join(f"H{k}\n\nP{k}" for k in range(4000)), ("word " * 400_000).strip()]
+    assert time.time() - began < 60
+    wrapper = wrappers.infer([*deep, wide, wide])
+    assert "(<article>(<h2>#</><p>#</>)+</>)?" in wrappers.expression(wrapper)
+
+
+def test_alignment():
+    f, a = wrappers.fold, wrappers.align
+    assert f([1, 1, 2, 3, 2, 4]) == [[1], [2, 3], [4]] and f([]) == []
+    assert f([1, 2, 1, 3, 2]) == [[1, 2, 3]]
+    assert a([[1], [2]], [[1], [3], [2]]) == [[1], [3], [2]]
+    assert a([[1], [2], [3]], [[2], [4]]) == [[1], [2], [4], [3]]
+    assert a([[1], [2], [3], [4]], [[1], [3], [2], [4]]) == [[1], [2, 3], [4]]
+    assert a([[1], [2], [3]], [[1, 2]]) == [[1, 2], [3]]
+    assert a([[1, 2], [3]], [[1], [2], [5]]) == [[1, 2], [5], [3]]
+    assert a([[1], [2], [3]], [[3], [1], [2]]) == [[1, 2, 3]]
+    pages = ["<ul><li>a<li>b</ul><p>x</p>", "<ul><li>a</ul><h2>t</h2><p>x</p>"]
+    assert wrappers.expression(wrappers.infer(pages)) == (
+        "<#root><ul>(<li>#</>)+</>(<h2>#</>)?<p>#</></>")
+
+
+def test_order_of_pages_does_not_change_groups():
+    import itertools
+    pages = ["<p>a<ul><li>x</ul>", "<h1>t</h1><p>b", "<ul><li>y</ul><p>c", "<p>d<h2>e</h2><p>f"]
+    seen = set()
+    for order in itertools.permutations(pages):
+        w = wrappers.infer(order)
+        seen.add(tuple(sorted((g[0], g[1], *g[2:8]) for g in w.values())))
+    assert len(seen) == 1
 
 
 def test_chat(spark):
@@ -325,6 +415,144 @@ def test_chat(spark):
     assert chat_format.format_chat(df.limit(0)).count() == 0
 
 
+def _meets_schema(v, s):
+    """A plain checker of the same part of JSON Schema."""
+    if not isinstance(s, dict):
+        return True
+    kind = ("null" if v is None else "boolean" if isinstance(v, bool) else
+            "integer" if isinstance(v, int) else "number" if isinstance(v, float) else
+            "string" if isinstance(v, str) else "array" if isinstance(v, list) else "object")
+    if "type" in s:
+        types = s["type"] if isinstance(s["type"], list) else [s["type"]]
+        if kind not in types and not (kind == "integer" and "number" in types):
+            return False
+    if "enum" in s and not any(type(e) is type(v) and e == v for e in s["enum"]):
+        return False
+    if kind == "object":
+        props, more = s.get("properties"), s.get("additionalProperties")
+        if any(k not in v for k in s.get("required", [])):
+            return False
+        if props is not None and not more and any(k not in props for k in v):
+            return False
+        return all(_meets_schema(x, (props or {}).get(k, more)) for k, x in v.items())
+    return kind != "array" or all(_meets_schema(x, s.get("items")) for x in v)
+
+
+def _chat(rows):
+    """Counts, links and order of messages by plain loops."""
+    def held(t):
+        try:
+            x = json.loads(t) if t and t.lstrip().startswith("{") else None
+        except ValueError:
+            x = None
+        return x if isinstance(x, dict) else {}
+
+    tools, first = {}, {}
+    for c, n, role, t in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[3] or "")):
+        for tool in held(t).get("tools", []) if role == "system" else []:
+            tools[c, tool["name"]] = tool.get("parameters")
+        for call in held(t).get("tool_calls", []) if role == "assistant" else []:
+            first.setdefault((c, call["id"]), n)
+    out = collections.Counter()
+    for c, n, role, t in rows:
+        x = held(t)
+        calls = x.get("tool_calls", []) if role == "assistant" else []
+        good = 0
+        for call in calls:
+            schema = tools.get((c, call["name"])) if c is not None else None
+            args = call["arguments"]
+            if isinstance(args, str):
+                args = json.loads(args) if args.startswith("{") else None
+            good += schema is None or isinstance(args, dict) and _meets_schema(args, schema)
+        answer = x.get("tool_call_id") if role == "tool" else None
+        linked = None if answer is None else c is not None and (c, answer) in first
+        turn = max(n, first[c, answer]) if linked else n
+        out[c, n, role, turn, int(bool(linked)), len(calls), good, linked] += 1
+    return out
+
+
+def test_chat_schemas(spark):
+    schema = {"type": "object", "required": ["city"], "properties": {
+        "city": {"type": "string"}, "unit": {"type": "string", "enum": ["C", "F"]},
+        "day": {"type": ["string", "null"]}, "box": {"type": "object", "required": ["x"], "properties": {
+            "x": {"type": "integer"}, "deep": {"type": "array", "items": {
+                "type": "object", "properties": {"k": {"enum": [1, "1", None]}}}}}},
+        "tags": {"type": "array", "items": {"type": "string"}}, "free": {"type": "object"},
+        "map": {"type": "object", "properties": {}, "additionalProperties": {"type": "number"}}}}
+    cases = [({"city": "a"}, True), ({"city": "a", "unit": "K"}, False), ({"city": "a", "unit": "C"}, True),
+             ({"city": "a", "day": None}, True), ({"city": "a", "day": 3}, False), ({}, False),
+             ({"city": "a", "box": {"x": "1"}}, False), ({"city": "a", "box": {"x": 1}}, True),
+             ({"city": "a", "box": {}}, False), ({"city": "a", "box": {"x": 1, "y": 2}}, False),
+             ({"city": "a", "tags": ["b", 1]}, False), ({"city": "a", "tags": ["b"]}, True),
+             ({"city": "a", "box": {"x": 1, "deep": [{"k": 1}, {"k": 2}]}}, False),
+             ({"city": "a", "box": {"x": 1, "deep": [{"k": "1"}, {"k": None}]}}, True),
+             ({"city": "a", "free": {"q": [{}]}}, True), ({"city": "a", "map": {"z": 1.5, "y": 2}}, True),
+             ({"city": "a", "map": {"z": "1"}}, False), ({"city": "a", "zip": 1}, False),
+             (json.dumps({"city": "a"}), True), ([1], False), (None, False)]
+    rows = [(1, 0, "system", json.dumps({"tools": [{"name": "w", "parameters": schema}, {"name": "v"}]}))]
+    rows += [(1, n + 1, "assistant", json.dumps({"tool_calls": [
+        {"id": f"c{n}", "name": "w", "arguments": a}]})) for n, (a, _) in enumerate(cases)]
+    rows += [(1, 99, "assistant", json.dumps({"tool_calls": [{"id": "v", "name": "v", "arguments": {"a": 1}}]}))]
+    rows += [rows[2], rows[2], rows[3]]                       # rows that occur again
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").select(
+        "*", F.lit("x").alias("valid"), F.lit("y").alias("message"), F.lit(1).alias("key"))
+    out = chat_format.format_chat(df).collect()
+    got = collections.Counter((r["turn"], r["n_calls"], r["calls_valid"]) for r in out)
+    want = collections.Counter([(0, 0, 0), (99, 1, 1)] + [
+        (t, 1, int(cases[t - 1][1])) for _, t, role, _ in rows if role == "assistant" and t < 99])
+    assert got == want
+
+
+def test_chat_against_plain_loops(spark):
+    rng = np.random.default_rng(8)
+    pick = lambda *x: x[rng.integers(len(x))]
+
+    def schema(depth):
+        kind = pick("string", "integer", "number", "boolean", ["string", "null"], "object", "array")
+        if depth and kind == "object":
+            names = [k for k in "abc" if rng.random() < 0.6]
+            return {"type": "object", "properties": {k: schema(depth - 1) for k in names},
+                    "required": [k for k in names if rng.random() < 0.4]}
+        if depth and kind == "array":
+            return {"type": "array", "items": schema(depth - 1)}
+        return {"type": kind} if rng.random() < 0.9 else {"enum": ["a", 1, True, None]}
+
+    def value(s, depth):
+        kind = s.get("type", "string") if rng.random() < 0.95 else pick("string", "integer", "object")
+        kind = pick(*kind) if isinstance(kind, list) else kind
+        if kind == "object":
+            return {k: value(t, depth - 1) for k, t in s.get("properties", {}).items()
+                    if rng.random() < 0.8} | ({"zz": 1} if rng.random() < 0.05 else {})
+        if kind == "array":
+            return [value(s.get("items", {}), depth - 1) for _ in range(rng.integers(3))]
+        return {"string": pick("a", "b"), "integer": 1, "number": 2.5, "boolean": True,
+                "null": None}[kind]
+
+    rows = []
+    for conv in [*range(25), None]:
+        schemas = {t: schema(3) | {"type": "object"} for t in "uv"}
+        rows.append((conv, 0, "system", json.dumps({"tools": [
+            {"name": t, "parameters": s} for t, s in schemas.items()]})))
+        for turn in range(1, 30):
+            ident = f"c{rng.integers(12)}"
+            rows.append((conv, turn, *pick(
+                ("user", "hello"), ("user", None), ("user", "{no json"), ("assistant", '{"x": 1}'),
+                ("tool", json.dumps({"tool_call_id": ident, "content": [1]})),
+                *[("assistant", json.dumps({"tool_calls": [
+                    {"id": f"c{rng.integers(12)}", "name": t, "arguments": value(schemas.get(t, {}), 3)}
+                    for t in [pick("u", "v", "w") for _ in range(rng.integers(1, 4))]]}))] * 3)))
+            if rng.random() < 0.2:
+                rows.append(rows[-1])
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    out = chat_format.format_chat(df).drop("message").collect()
+    got = collections.Counter(tuple(r[c] for c in (
+        "conv_id", "turn", "role", "order_turn", "order_rank", "n_calls", "calls_valid", "linked")) for r in out)
+    want = _chat(rows)
+    assert got == want
+    valid = sum(k[6] * n for k, n in want.items())
+    assert 100 < valid < sum(k[5] * n for k, n in want.items()) - 50
+
+
 def test_licences(spark):
     rows = [(1, "prose of no matter\nReleased under the MIT License.\n"), (2, None), (3, ""),
             (4, "Licensed under the Apache License, Version 2.0."), (5, "he lost his license today"),
