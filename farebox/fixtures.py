@@ -104,10 +104,11 @@ def star_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones_from_star(read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region"))
 
 
-def to_file_layout(trips: DataFrame) -> DataFrame:
+def to_file_layout(trips: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Trips as the public monthly trip files store them: source field names
     (``VendorID``, ``PULocationID``, ``Airport_fee`` ...), 64-bit ids and
-    fractional ``passenger_count`` / ``RatecodeID``, as published files do."""
+    fractional ``passenger_count`` / ``RatecodeID``, as published files do.
+    ``keep`` names further columns that stay."""
     fractional = {"passenger_count", "ratecode_id"}
     wide = {"vendor_id", "pu_location_id", "do_location_id", "payment_type"}
     out = []
@@ -118,4 +119,4 @@ def to_file_layout(trips: DataFrame) -> DataFrame:
         elif name in wide:
             c = c.cast("bigint")
         out.append(c.alias(file_name))
-    return trips.select(*out)
+    return trips.select(*out, *keep)

@@ -36,7 +36,12 @@ class DataQualityError(RuntimeError):
 
 
 class FileValidationError(RuntimeError):
-    pass
+    """``problems`` holds what was found, as dicts."""
+
+    def __init__(self, problems: list[dict]):
+        self.problems = problems
+        super().__init__("; ".join(f"{p['problem']} {p['subject']}: wanted {p['wanted']}, "
+                                   f"found {p['found']}" for p in problems))
 
 
 def not_null_failures(df: DataFrame, columns: list[str], model: str = "") -> DataFrame:
@@ -170,8 +175,8 @@ def file_exists(spark: SparkSession, path: str) -> bool:
 def file_manifest(spark: SparkSession, directory: str, pattern: str, lookup_path: str,
                   expected_count: int) -> DataFrame:
     """One summary row: file count, lookup present, total MB (2 places), the
-    sorted file names, empty files, and every error found (all checks run
-    before anything fails)."""
+    sorted file names, empty files, and every problem found (problem, subject,
+    wanted, found), as all checks run before anything fails."""
     files = list_files(spark, directory, pattern)
     lookup_ok = file_exists(spark, lookup_path)
     summary = files.agg(
@@ -180,14 +185,16 @@ def file_manifest(spark: SparkSession, directory: str, pattern: str, lookup_path
         F.sort_array(F.collect_list("file_name")).alias("files"),
         F.sort_array(F.collect_list(F.when(F.col("size_bytes") == 0, F.col("file_name")))).alias("empty_files"),
     )
-    errors = F.filter(F.array(
-        F.when(F.col("parquet_file_count") != expected_count,
-               F.format_string(f"Expected {expected_count} parquet files, found %d.",
-                               F.col("parquet_file_count"))),
-        F.when(F.lit(not lookup_ok), F.lit(f"Missing lookup file: {lookup_path}")),
-        F.when(F.size("empty_files") > 0,
-               F.concat(F.lit("Empty parquet files found: "), F.array_join("empty_files", ", "))),
-    ), lambda e: e.isNotNull())
+    def problem(kind: str, subject, wanted, found) -> Column:
+        return F.struct(F.lit(kind).alias("problem"), as_col(subject).alias("subject"),
+                        as_col(wanted).cast("string").alias("wanted"),
+                        as_col(found).cast("string").alias("found"))
+
+    count = F.when(F.col("parquet_file_count") != expected_count, problem(
+        "file count", F.lit(pattern), F.lit(expected_count), "parquet_file_count"))
+    lookup = F.when(F.lit(not lookup_ok), problem("lookup", F.lit(lookup_path), F.lit(1), F.lit(0)))
+    empty = F.transform("empty_files", lambda f: problem("file size", f, F.lit("> 0"), F.lit(0)))
+    errors = F.concat(F.array_compact(F.array(count, lookup)), empty)
     return summary.select(
         "parquet_file_count", F.lit(lookup_ok).alias("lookup_file_exists"),
         "total_parquet_size_mb", "files", "empty_files", errors.alias("errors"))
@@ -199,5 +206,5 @@ def validate_files(spark: SparkSession, directory: str, pattern: str, lookup_pat
     summary as a dict."""
     row = file_manifest(spark, directory, pattern, lookup_path, expected_count).first()
     if row["errors"]:
-        raise FileValidationError("Source file validation failed: " + " | ".join(row["errors"]))
+        raise FileValidationError([e.asDict() for e in row["errors"]])
     return row.asDict()

@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +21,9 @@ from farebox.fixtures import read_table, star_trips, star_zones, to_file_layout
 from farebox.operators import filters, quality
 from farebox.operators.joins import lookup_join
 from farebox.operators.windows import rank_asc, rank_desc
-from farebox.plans import daily, marts, models, pipeline, reports
+from farebox.plans import daily, daily_ledger, marts, models, pipeline, reports
 from farebox.session import scratch_path, session_key
-from farebox.sources import semistructured, sinks, trip_files, zone_csv
+from farebox.sources import footers, releases, semistructured, sinks, statistics, trip_files, zone_csv
 from farebox.streaming import daily_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,14 +142,58 @@ def load_failfast(spark, d):
     return zone_csv.load_zones(spark, path, as_of=LOAD_AS_OF, failfast=True)
 
 
+def load_abort(spark, d):
+    """Both kinds of file, with and without one record that can't be cast: what is
+    loaded of clean files, and whether the others abort when they are counted."""
+    trips, zones = _file_layout(spark, d), _zones(spark, d)
+    clean, bad = scratch_path(spark, "abort-clean"), scratch_path(spark, "abort-bad")
+    trips.write.parquet(f"{clean}/trips")
+    trips.write.parquet(f"{bad}/trips/good")
+    (trips.limit(1).withColumn("passenger_count", F.lit("two"))
+     .write.parquet(f"{bad}/trips/bad"))
+    zone_csv.write_zones_csv(zones, f"{clean}/zones")
+    texts = zones.withColumn("location_id", F.col("location_id").cast("string"))
+    zone_csv.write_zones_csv(texts.union(texts.limit(1).withColumn("location_id", F.lit("x"))),
+                             f"{bad}/zones")
+
+    def load_trips(path, *more):
+        return trip_files.load_trips(spark, [f"{path}/trips{m}" for m in more], as_of=LOAD_AS_OF)
+
+    rows = []
+    for kind, good, broken in (
+            ("taxi_zone_lookup", lambda: zone_csv.load_zones(spark, f"{clean}/zones"),
+             lambda: zone_csv.load_zones(spark, f"{bad}/zones")),
+            ("yellow_taxi_trips", lambda: load_trips(clean, ""),
+             lambda: load_trips(bad, "/good", "/bad"))):
+        try:
+            broken().count()
+            aborted = False
+        except (PySparkException, Py4JJavaError):
+            aborted = True
+        rows.append((kind, good().count(), aborted))
+    return spark.createDataFrame(rows, "kind string, loaded_rows bigint, bad_file_aborts boolean")
+
+
+def scan_footers(spark, d):
+    """Rows per field and type, from the footers of files in three layouts."""
+    path = _written_mixed_files(spark, d, "trip-files-footers")
+    found = footers.footers(spark, f"{path}/*/part-*.parquet")
+    return found.groupBy("field", "type").agg(F.sum("row_count").alias("row_count"))
+
+
 def scan_glob(spark, d):
     path = _written_files(spark, d, "trip-files-glob")
-    return daily.scan_trips_pruned(spark.read.parquet(f"{path}/part-*.parquet"))
+    return daily.read_trip_files(spark, f"{path}/part-*.parquet")
 
 
 def rows_per_source_file(spark, d):
-    path = _written_files(spark, d, "trip-files-lineage")
-    loaded = trip_files.load_trips(spark, f"{path}/part-*.parquet", as_of=LOAD_AS_OF)
+    """Files of a year each, named by their folder: lineage from the hidden path
+    column."""
+    path = scratch_path(spark, "trip-files-lineage")
+    to_file_layout(star_trips(spark, d), keep=["source_file"]).write.partitionBy(
+        "source_file").parquet(path)
+    name = F.regexp_extract("_metadata.file_path", "source_file=([^/]+)/", 1)
+    loaded = trip_files.load_trips(spark, path, as_of=LOAD_AS_OF, source_file=name)
     return loaded.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -192,7 +238,9 @@ def sink_dynamic_overwrite(spark, d):
     """Write every month, then rewrite the earliest month with only its
     first half; the other months must stay as they were."""
     path = scratch_path(spark, "daily-dynamic")
-    agg = _daily(spark, d)
+    stored = scratch_path(spark, "daily-rows")
+    _daily(spark, d).write.parquet(stored)       # read three times below
+    agg = spark.read.parquet(stored)
     sinks.write_partitioned(agg, path, daily.PARTITION_KEYS, dynamic=True)
     first = agg.agg(F.min(F.struct("pickup_year", "pickup_month")).alias("m")).select("m.*")
     redo = (agg.join(first, ["pickup_year", "pickup_month"], "left_semi")
@@ -316,6 +364,11 @@ def join_pickup_zone(spark, d):
                         "service_zone": "pickup_service_zone"})
 
 
+def join_salted(spark, d):
+    """Both lookups with hot and NULL ids spread over the tasks."""
+    return models.trip_enriched(_metrics(spark, d), _zones(spark, d), salted=True)
+
+
 def model_trip_enriched(spark, d):
     return _enriched(spark, d)
 
@@ -402,13 +455,52 @@ def job_daily_zone(spark, d):
     return spark.read.parquet(out)
 
 
+def _published(spark, d):
+    """One run over the mapped trips, which have NULL pickups and locations, so that
+    the gate only reports; its base folder."""
+    base = scratch_path(spark, "pipeline")
+    pipeline.run(spark, star_trips(spark, d), star_zones(spark, d), base, gate=False)
+    return base
+
+
 def pipeline_publish(spark, d):
-    """Entry A end to end: quality status (gate reporting only: the mapped
-    trips have NULL pickups and locations), enriched table and marts
-    published under scratch, the zone-revenue mart read back."""
-    res = pipeline.run(spark, star_trips(spark, d), star_zones(spark, d),
-                       scratch_path(spark, "pipeline"), gate=False)
-    return res.tables["mart_zone_revenue"]
+    """Entry A end to end, the zone-revenue mart of the current release."""
+    return releases.read_table(spark, _published(spark, d), "marts", "mart_zone_revenue")
+
+
+def pipeline_by_name(spark, d):
+    """Rows and trips of all released tables, by their names in another session."""
+    _published(spark, d)
+    other = spark.newSession()
+    tables = {"intermediate.int_trip_enriched": F.count(F.lit(1)),
+              "staging.stg_yellow_taxi_trips": F.count(F.lit(1)),
+              **{f"marts.{m}": F.sum("trip_count") for m in pipeline.MARTS}}
+    return reduce(DataFrame.unionByName, [
+        other.table(t).agg(F.count(F.lit(1)).alias("row_count"), trips.alias("trips"))
+        .select(F.lit(t).alias("table_name"), "row_count", "trips") for t, trips in tables.items()])
+
+
+def dq_source_status(spark, d):
+    """Row counts, newest loads and freshness of the raw tables of a release."""
+    base = _published(spark, d)
+    release = releases.current(spark, base)
+    return statistics.source_status(statistics.load_statistics(spark, {
+        name: releases.table_path(base, layer, name, release.run_id)
+        for layer, name in (pipeline.RAW_TRIPS, pipeline.RAW_ZONES)}), FRESHNESS_AS_OF)
+
+
+def job_daily_ledger(spark, d):
+    """The daily job over files of a year each, of which the latest comes late."""
+    src, out = scratch_path(spark, "ledger-input"), scratch_path(spark, "ledger-output")
+    ledger = scratch_path(spark, "ledger")
+    years = to_file_layout(star_trips(spark, d), keep=["source_file"])
+    last = years.agg(F.max("source_file")).first()[0]
+    years.where(F.col("source_file") < last).write.partitionBy("source_file").parquet(src)
+    daily_ledger.update_daily(spark, src, out, ledger)
+    late = F.coalesce(F.col("source_file"), F.lit(last)) == last
+    years.where(late).write.mode("append").partitionBy("source_file").parquet(src)
+    daily_ledger.update_daily(spark, src, out, ledger)
+    return spark.read.parquet(out)
 
 
 def stream_daily_zone(spark, d):
@@ -460,6 +552,8 @@ QUERIES: dict[str, Query] = {
     "load_trips_mixed": load_trips_mixed,
     "job_daily_mixed": job_daily_mixed,
     "load_zones_csv": load_zones_csv,
+    "load_abort": load_abort,
+    "scan_footers": scan_footers,
     "scan_glob": scan_glob,
     "rows_per_source_file": rows_per_source_file,
     "stamp_loaded_at": stamp_loaded_at,
@@ -501,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "dq_valid_trip_duration": dq_valid_trip_duration,
     # joins
     "join_pickup_zone": join_pickup_zone,
+    "join_salted": join_salted,
     "model_trip_enriched": model_trip_enriched,
     "join_self_aggregate": join_self_aggregate,
     # aggregations
@@ -521,13 +616,16 @@ QUERIES: dict[str, Query] = {
     "report_demand_timing": report_demand_timing,
     "report_tip_behaviour": report_tip_behaviour,
     "job_daily_zone": job_daily_zone,
+    "job_daily_ledger": job_daily_ledger,
     "stream_daily_zone": stream_daily_zone,
     "pipeline_publish": pipeline_publish,
+    "pipeline_by_name": pipeline_by_name,
     # data quality
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_unique_order_line": dq_unique_order_line,
     "dq_summary": dq_summary,
     "dq_freshness": dq_freshness,
+    "dq_source_status": dq_source_status,
     "dq_file_manifest": dq_file_manifest,
 }

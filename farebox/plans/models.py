@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox import functions as fx
-from farebox.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast, lookup_join
+from farebox.operators.joins import hot_keys, lookup_join
 from farebox.schemas import ENRICH_ZONE_COLUMNS, STG_TRIP_COLUMNS, STG_ZONE_COLUMNS
 
 PICKUP = "tpep_pickup_datetime"
@@ -54,14 +54,15 @@ def trip_metrics(trips: DataFrame) -> DataFrame:
     )
 
 
-def trip_enriched(metrics: DataFrame, zones: DataFrame,
-                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def trip_enriched(metrics: DataFrame, zones: DataFrame, salted: bool = False) -> DataFrame:
     """Metrics plus pickup and drop-off zone attributes (two LEFT lookups of
-    the same dimension in two roles)."""
-    # One bounded count decides the strategy for both roles.
-    small = fits_broadcast(zones.select(F.col("location_id").alias("__lookup_key"),
-                                        *ENRICH_ZONE_COLUMNS), max_broadcast_rows)
-    out = lookup_join(metrics, zones, "pu_location_id", "location_id",
-                      {c: f"pickup_{c}" for c in ENRICH_ZONE_COLUMNS}, broadcast=small)
-    return lookup_join(out, zones, "do_location_id", "location_id",
-                       {c: f"dropoff_{c}" for c in ENRICH_ZONE_COLUMNS}, broadcast=small)
+    the same dimension in two roles).
+
+    ``salted`` is for zones too large to broadcast: it counts the trips of each id
+    and spreads hot ids and trips without one over the tasks of the joins."""
+    out = metrics
+    for key, role in (("pu_location_id", "pickup"), ("do_location_id", "dropoff")):
+        out = lookup_join(out, zones, key, "location_id",
+                          {c: f"{role}_{c}" for c in ENRICH_ZONE_COLUMNS},
+                          hot=hot_keys(metrics, key) if salted else None)
+    return out

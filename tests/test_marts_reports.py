@@ -111,7 +111,7 @@ def test_shuffle_join_matches_broadcast(layers):
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     for k in keys:
         spark.conf.set(k, "-1")
-    b = models.trip_enriched(metrics, L["zones"], max_broadcast_rows=0)
+    b = models.trip_enriched(metrics, L["zones"])
     plan = b._jdf.queryExecution().executedPlan().toString()
     for k in keys:
         spark.conf.unset(k)

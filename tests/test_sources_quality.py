@@ -193,7 +193,9 @@ def test_file_manifest_collects_all_errors(spark, tmp_out):
     assert len(r.errors) == 3 and not r.lookup_file_exists
     with pytest.raises(quality.FileValidationError) as e:
         quality.validate_files(spark, raw, "yellow_tripdata_2023-*.parquet", lookup, 12)
-    assert "Expected 12" in str(e.value) and "Missing lookup" in str(e.value)
+    assert [(p["problem"], p["wanted"], p["found"]) for p in e.value.problems] == [
+        ("file count", "12", "3"), ("lookup", "1", "0"), ("file size", "> 0", "0")]
+    assert "file count" in str(e.value) and lookup in str(e.value)
 
 
 def test_pipeline_gate_blocks_publish(spark, tmp_out):
