@@ -210,9 +210,11 @@ def _few_rows(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
 def _background(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(h, w), stored: stretches of SPAN words without a cue from the whole texts of
     BACKGROUND_ROWS documents."""
-    some = (docs.select(F.col(text_col).alias("text"))
-            .where(F.length("text") > 0).withColumn("h", F.xxhash64("text"))
-            .orderBy("h", "text").limit(BACKGROUND_ROWS))
+    texts = (docs.select(F.col(text_col).alias("text"))
+             .where(F.length("text") > 0).withColumn("h", F.xxhash64("text")))
+    # only hashes are ranked; the texts of the few are fetched, copies as one
+    first = texts.select("h").orderBy("h").limit(BACKGROUND_ROWS).distinct()
+    some = texts.join(F.broadcast(first), "h").groupBy("h").agg(F.min("text").alias("text"))
     starts = F.sequence(F.lit(0), F.size("toks") - 1, F.lit(SPAN))
     cut = (chunks(some, "h").select(
         "h", "start", F.posexplode(F.transform(starts, lambda k: F.slice("toks", k + 1, SPAN))))
