@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from farebox.llm.common import stored
 
+HOT_NODES = 512           # a node with more than this part of all edges is joined apart
+
 
 def _print(edges: DataFrame) -> tuple:
     """Count and two sums of hashes: equal for equal edge sets."""
@@ -15,12 +17,30 @@ def _print(edges: DataFrame) -> tuple:
                            F.sum(h.cast("decimal(38,0)"))).first())
 
 
+def with_lowest(edges: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """(edges with ``low``, the least value of their key; the (key, low) pairs).
+
+    The pairs come from a grouping, one row per key and task, and are stored. Keys
+    with more than a HOT_NODES-th of all edges, of which there are at most
+    HOT_NODES, meet their edges where these lie; the others are joined."""
+    low = stored(edges.groupBy(key).agg(F.min(value).alias("low"), F.count(F.lit(1)).alias("edges")),
+                 "cc-low")
+    least = (low.agg(F.sum("edges")).first()[0] or 0) / HOT_NODES
+    hot = F.broadcast(low.where(F.col("edges") > least).select(key, F.col("low").alias("__hot")))
+    split = edges.join(hot, key, "left")
+    near = split.where("__hot is not null").withColumnRenamed("__hot", "low")
+    far = (split.where("__hot is null").drop("__hot")
+           .join(low.where(F.col("edges") <= least).select(key, "low"), key))
+    return near.unionByName(far), low.select(key, "low")
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest id reachable from each id on an edge.
 
     Large-star and small-star by turns, each a grouping with a minimum, until
     the edges stay the same; each round is stored. An id with very many edges
-    costs the grouping one row per task, the re-linking a join that Spark splits."""
+    costs the grouping one row per task, and its edges are re-linked where they
+    lie, not gathered."""
     e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
          .where("u <> v").distinct())
     e = stored(e, "cc")
@@ -28,12 +48,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while True:
         # large star: every larger neighbour is linked to the smallest one
         both = e.select("u", "v").union(e.select(F.col("v"), F.col("u"))).toDF("n", "m")
-        low = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("low"))
-        large = (both.join(low, "n").where("m > n")
-                 .select(F.col("m").alias("u"), F.col("low").alias("v")).distinct())
+        starred, _ = with_lowest(both, "n", "m")
+        large = stored(starred.where("m > n").select(
+            F.col("m").alias("u"), F.least("low", "n").alias("v")).distinct(), "cc-large")
         # small star: every smaller neighbour is linked to the smallest one
-        least = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        starred, least = with_lowest(large, "u", "v")
+        small = (starred.select(F.col("v").alias("u"), F.col("low").alias("v"))
                  .union(least).where("u <> v").distinct())
         now = stored(small, "cc")
         if _print(now) == before:

@@ -38,6 +38,7 @@ THRESHOLD = 0.8
 RECALL = 0.99
 COORDS = 128
 BLOCK = 256              # sets that are compared at once
+BLOCK_SHINGLES = 4_000_000   # shingles of them, about, when whole sets are compared
 LEVELS = 12              # splits before the rest is compared in blocks
 DENSE = 0.6              # share of a node in one child that makes splitting pointless
 LENIENT = 0.15           # by how much a sketch may fall short of the threshold
@@ -97,21 +98,23 @@ def _set_key(packed: bytes) -> bytes:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(doc_id, set_key, sketch) of every row; null set_key without words."""
+    """(doc_id, set_key, sketch, shingles) of every row; null set_key without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, keys, sks = [], [], []
+            ids, keys, sks, sizes = [], [], [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 x = shingles(t.as_py() or "", size)
                 ids.append(i)
+                sizes.append(len(x))
                 keys.append(_set_key(x.tobytes()) if len(x) else None)
                 sks.append(sketch(x).tobytes() if len(x) else None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(sks, pa.binary())], names=["doc_id", "set_key", "sketch"])
+                 pa.array(sks, pa.binary()), pa.array(sizes, pa.int64())],
+                names=["doc_id", "set_key", "sketch", "shingles"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        run, "doc_id long, set_key binary, sketch binary")
+        run, "doc_id long, set_key binary, sketch binary, shingles long")
 
 
 def _children(nodes: DataFrame, threshold: float, runs: range | None = None) -> DataFrame:
@@ -151,7 +154,8 @@ def in_blocks(members: DataFrame, payload: str, block: int) -> DataFrame:
     """Blocks of a grouped table: (grp, part, n_parts, reps, payloads).
 
     ``members`` has grp, rep, n (size of the group) and the payload. A group of
-    up to ``block`` rows is one block, a larger one several by a hash of rep."""
+    up to ``block`` rows is one block, a larger one several by a hash of rep; long
+    payloads make n larger, see ``_links_within``."""
     parts = F.ceil(F.col("n") / block)
     return (members.withColumn("n_parts", parts.cast("int"))
             .withColumn("part", F.pmod(F.xxhash64("rep", F.lit(3)), "n_parts").cast("int"))
@@ -279,7 +283,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     usable = F.col("doc_id").isNotNull() & F.col("set_key").isNotNull()
     reps = stored(sets.where(usable).groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
-        F.min("sketch").alias("sketch")), "jaccard-reps")
+        F.min("sketch").alias("sketch"), F.min("shingles").alias("shingles")), "jaccard-reps")
 
     edges, some = None, reps
     # splits below the first that the runs made so far allow for
@@ -327,9 +331,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _links_within(docs, id_col, text_col, size, threshold, reps, groups, block) -> DataFrame:
-    """Exact links between the sets of each candidate group, stored."""
-    chosen = (groups.withColumnRenamed("node", "rep").join(reps.select("rep", "copies", "set_key"), "rep")
-              .join(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "component"))
+    """Exact links between the sets of each candidate group, stored. A group counts
+    as larger if its sets are long, so that a block holds neither too many sets nor
+    too many shingles."""
+    weight = F.greatest(F.count(F.lit(1)), F.ceil(F.sum("shingles") * block / BLOCK_SHINGLES))
+    named = groups.withColumnRenamed("node", "rep").join(
+        reps.select("rep", "copies", "set_key", "shingles"), "rep")
+    chosen = (named.drop("shingles")
+              .join(named.groupBy("component").agg(weight.alias("n")), "component"))
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,8 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from farebox.llm import (chat_format, exact_dedup, jaccard_join, licences, lm_score, packing,
-                         quality, queries, vectors, word_codec, wrappers)
+from farebox.llm import (chat_format, components, exact_dedup, jaccard_join, licences, lm_score,
+                         packing, quality, queries, vectors, word_codec, wrappers)
 from farebox.llm.common import stored
 
 SF = "/root/testdata/sf0.001"
@@ -169,6 +169,32 @@ def test_jaccard_recall_in_a_large_family(spark, monkeypatch):
     assert max(splits) > 2 and runs[0] >= jaccard_join.runs_for(0.99, 0.8, max(splits))
 
 
+def test_components_with_hot_nodes(spark):
+    """Stars whose centre is the smallest, a middle and the largest id, a path, and
+    random edges; a star's edges are joined where they lie."""
+    rng = np.random.default_rng(4)
+    edges = [(0, k) for k in range(2, 3000, 2)] + [(k, 1) for k in range(2001, 4001, 2)]
+    edges += [(9000, k) for k in range(5000, 6000)] + [(5500, k) for k in range(6000, 6500)]
+    edges += [(k, k + 1) for k in range(20_000, 20_060)]
+    edges += [tuple(map(int, e)) for e in rng.integers(30_000, 30_400, (300, 2))]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r["node"]: r["component"] for r in components.connected_components(df).collect()}
+    assert got == {x: find(x) for e in edges for x in e if e[0] != e[1] or x in got}
+    both, low = components.with_lowest(df, "a", "b")
+    assert both.count() == len(edges) and low.count() == len({a for a, _ in edges})
+    assert components.connected_components(df.limit(0)).count() == 0
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(60, 16))
