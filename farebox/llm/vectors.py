@@ -2,8 +2,9 @@
 
 Equal vectors are counted first and compared once. Vectors are scaled to unit
 length, rotated to their principal axes and dealt out in the order of the first
-one, as tiles. A pair of tiles is compared as a whole: products of the leading
-dimensions first, and after each group of dimensions a pair is given up once even
+two, as tiles. The ranges of the tiles on the first axes are a small table; tiles
+that lie too far apart on them never meet, and only the other pairs are joined. A
+pair of tiles is compared as a whole: products of the leading dimensions first, and after each group of dimensions a pair is given up once even
 the rest, bounded by the product of the two suffix norms, can't lift it to the
 threshold. What is left is decided by the cosine of the given vectors in double
 precision. Of a pair of tiles only counts and a spanning set of links remain.
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,9 @@ from farebox.llm.common import local_roots, stored
 from farebox.llm.components import connected_components
 
 THRESHOLD = 0.9
-TILE = 2048               # vectors of a tile
+TILE = 4096               # vectors of a tile
+RANGED = 8                # axes on which tiles' ranges are held against each other
+CHUNK = 512               # tiles whose ranges are in a row
 SLICE = 256               # rows of a tile that are compared at once
 LEAD = (0.125, 0.25, 0.5)  # shares of the dimensions after which pairs are given up
 SLACK = 1e-9              # more than double precision loses in the rotated products
@@ -38,12 +41,7 @@ def _usable(v) -> F.Column:
 def _unit(b: pa.RecordBatch, column: str) -> list[np.ndarray]:
     """Vectors scaled to length one in double precision; scaled by the largest
     component first, so that the squares neither overflow nor vanish."""
-    out = []
-    for v in b.column(column).to_pylist():
-        x = np.array(v, np.float64)
-        x = x / np.abs(x).max()
-        out.append(x / np.sqrt(x @ x))
-    return out
+    return list(_scaled(np.array(b.column(column).to_pylist(), np.float64)))
 
 
 def principal_axes(vectors: DataFrame) -> np.ndarray:
@@ -135,51 +133,50 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 def _tiles_links(reps: DataFrame, count: int, threshold: float, tile: int) -> DataFrame:
     """(rep, root, links) of vectors of one length, per pair of tiles."""
     axes = principal_axes(reps)
-    first = axes[:, 0]
     n_tiles = max(1, -(-count // tile))
+    slabs = max(1, round(n_tiles ** 0.5))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if len(b):
-                at = np.array(_unit(b, "v")) @ first
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns, pa.array(at)], names=[*b.schema.names, "at"])
+                at = np.array(_unit(b, "v")) @ axes[:, :2]
+                slab = np.floor((at[:, 0] + 1) / 2 * slabs).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(slab), pa.array(at[:, -1])],
+                                                 names=[*b.schema.names, "slab", "at"])
 
-    placed = stored(reps.mapInArrow(place, "v array<double>, rep long, copies long, at double"),
-                    "vector-placed")
+    placed = stored(reps.mapInArrow(
+        place, "v array<double>, rep long, copies long, slab int, at double"), "vector-placed")
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, size = TaskContext.get().partitionId(), [], 0
+        held, size = [], 0
         for b in [*batches, None]:
             if b is not None and len(b):
                 held.append(b)
                 size += len(b)
             if held and (b is None or size >= tile):
                 t = pa.Table.from_batches(held)
+                x = np.array(t.column("v").to_pylist(), np.float64)
+                first = _scaled(x) @ axes[:, :RANGED]
+                with np.errstate(over="ignore"):
+                    narrow = x.astype(np.float32)
+                wide = not np.array_equal(narrow, x)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([number], pa.int32()), pa.array([size], pa.int32()),
                     pa.array([t.column("rep").to_numpy().tobytes()], pa.binary()),
                     pa.array([t.column("copies").to_numpy().tobytes()], pa.binary()),
-                    pa.array([np.array(t.column("v").to_pylist(), np.float64).tobytes()],
-                             pa.binary())], names=["tile", "size", "reps", "copies", "data"])
+                    pa.array([(x if wide else narrow).tobytes()], pa.binary()), pa.array([wide]),
+                    pa.array([first.min(axis=0).tolist()]), pa.array([first.max(axis=0).tolist()])],
+                    names=["reps", "copies", "data", "wide", "low", "high"])
                 held, size = [], 0
 
-    blocks = placed if n_tiles == 1 else placed.repartitionByRange(n_tiles, "at", "rep")
-    blocks = stored(blocks.mapInArrow(
-        block, "tile int, size int, reps binary, copies binary, data binary"), "vector-tiles")
-    span = blocks.agg(F.max("tile")).first()[0] + 1
-    numbered = blocks.withColumn("no", F.monotonically_increasing_id())
-    numbered = stored(numbered, "vector-blocks")
-    # a tile meets itself and those half way round, so each pair of tiles meets once
-    sent = numbered.select(
-        "tile", "no", "reps", "copies", "data",
-        F.explode(F.expr(f"transform(filter(sequence(0, {span} div 2),"
-                         f" d -> 2 * d < {span} or tile < d), d -> cast((tile + d) % {span} as int))"
-                         )).alias("other"))
-    right = numbered.select(F.col("tile").alias("other"), F.col("no").alias("no2"),
-                            F.col("reps").alias("reps2"), F.col("copies").alias("copies2"),
-                            F.col("data").alias("data2"))
-    pairs = sent.join(right, "other").where("tile <> other or no <= no2")
+    blocks = placed if n_tiles == 1 else placed.repartitionByRange(n_tiles, "slab", "at", "rep")
+    blocks = stored(blocks.select("v", "rep", "copies").mapInArrow(
+        block, "reps binary, copies binary, data binary, wide boolean, low array<double>, "
+               "high array<double>").withColumn("no", F.monotonically_increasing_id()), "vector-tiles")
+    pairs = stored(_near_tiles(blocks, threshold), "vector-pairs")
+    payload = ["reps", "copies", "data", "wide"]
+    left = blocks.select("no", *payload)
+    right = blocks.select(F.col("no").alias("no2"), *[F.col(c).alias(f"{c}2") for c in payload])
+    pairs = pairs.join(right, "no2").join(left, "no")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = len(axes)
@@ -191,30 +188,61 @@ def _tiles_links(reps: DataFrame, count: int, threshold: float, tile: int) -> Da
                 if out is not None:
                     yield out
 
-    return pairs.select("no", "reps", "copies", "data", "no2", "reps2", "copies2",
-                        "data2").mapInArrow(compare, "rep long, root long, links long")
+    return pairs.select("no", *payload, "no2", *[f"{c}2" for c in payload]).mapInArrow(
+        compare, "rep long, root long, links long")
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one, as ``_unit`` does."""
+    u = x / np.abs(x).max(axis=1, keepdims=True)
+    return u / np.sqrt((u * u).sum(axis=1, keepdims=True))
+
+
+def _near_tiles(blocks: DataFrame, threshold: float) -> DataFrame:
+    """(no, no2): each pair of tiles, and each tile with itself, whose ranges don't
+    rule out a link: |a-b|^2 = 2 - 2 cos is at least the sum of squared gaps."""
+    chunks = max(1, blocks.count() // CHUNK)
+    chunk = F.pmod(F.xxhash64("no"), F.lit(chunks))
+    ranges = blocks.groupBy(chunk.alias("chunk")).agg(
+        F.collect_list(F.struct("no", "low", "high")).alias("tiles"))
+    # every chunk meets itself and the later ones
+    sent = ranges.select(F.col("chunk").alias("own"), F.col("tiles").alias("mine"), F.explode(
+        F.sequence(F.col("chunk"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                (no, low, high), (no2, low2, high2) = (
+                    [np.array([t[c] for t in r[side]]) for c in ("no", "low", "high")]
+                    for side in ("mine", "tiles"))
+                for k in range(len(no)):
+                    gap = np.maximum(0, np.maximum(low[k] - high2, low2 - high[k]))
+                    ok = 1 - (gap * gap).sum(axis=1) / 2 >= threshold - SLACK
+                    if r["own"] == r["chunk"]:
+                        ok &= no2 >= no[k]
+                    if ok.any():
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(int(ok.sum()), no[k])), pa.array(no2[ok])],
+                            names=["no", "no2"])
+
+    return sent.join(ranges, "chunk").mapInArrow(run, "no long, no2 long")
 
 
 def _tile_pair(r: dict, d: int, axes: np.ndarray, lead: list[int], threshold: float):
-    def unit(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        raw = np.frombuffer(data, np.float64).reshape(-1, d)
-        u = raw / np.abs(raw).max(axis=1, keepdims=True)
-        u = u / np.sqrt((u * u).sum(axis=1, keepdims=True))
+    def unit(data: bytes, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+        raw = np.frombuffer(data, np.float64 if wide else np.float32).astype(np.float64)
+        u = _scaled(raw.reshape(-1, d))
         return u, u @ axes
 
     same = r["no"] == r["no2"]
-    ux, px = unit(r["data"])
-    uy, py = (ux, px) if same else unit(r["data2"])
+    ux, px = unit(r["data"], r["wide"])
+    uy, py = (ux, px) if same else unit(r["data2"], r["wide2"])
     names, copies = np.frombuffer(r["reps"], np.int64), np.frombuffer(r["copies"], np.int64)
     m = 0
     if not same:
         m = len(names)
         names = np.concatenate([names, np.frombuffer(r["reps2"], np.int64)])
         copies = np.concatenate([copies, np.frombuffer(r["copies2"], np.int64)])
-    # the first axis bounds a whole pair of tiles: |a-b|^2 = 2 - 2 cos
-    gap = max(px[:, 0].min() - py[:, 0].max(), py[:, 0].min() - px[:, 0].max(), 0)
-    if 1 - gap * gap / 2 < threshold - SLACK:
-        return None
     links, root = np.zeros(len(names), np.int64), np.arange(len(names))
     for k in range(0, len(px), SLICE):
         i, j = _compare(px[k:k + SLICE], py, lead, threshold)

@@ -6,6 +6,7 @@ import contextlib
 import hashlib
 import io
 import json
+import re
 import zlib
 
 import numpy as np
@@ -84,7 +85,6 @@ def test_quality(spark, odd):
 
 def test_exact(spark, odd):
     def norm(t):
-        import re
         return re.sub(r"[\x20\x09-\x0d]+", " ", t or "")
     groups = collections.defaultdict(list)
     for i, t in ODD:
@@ -219,6 +219,50 @@ def test_vectors(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_vectors_in_many_tiles(spark, monkeypatch, kind):
+    """Far clusters, one of them hot: tiles that lie apart never meet, and all links
+    of brute force are found."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 24))
+    of = np.where(rng.random(900) < 0.3, 0, rng.integers(0, 12, 900))
+    x = centres[of] + rng.normal(size=(900, 24)) * rng.choice([0.1, 0.3, 0.5], (900, 1))
+    x = x.astype(np.float32 if kind == "float" else np.float64).astype(np.float64)
+    pairs, stored_as = [], vectors.stored
+
+    def look(df, name):
+        out = stored_as(df, name)
+        if name == "vector-pairs":
+            pairs.append(out.count())
+        if name == "vector-tiles":
+            pairs.append(out.count())
+            assert {r["wide"] for r in out.collect()} == {kind == "double"}
+        return out
+
+    monkeypatch.setattr(vectors, "stored", look)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)],
+                               f"vec_id long, embedding array<{kind}>").select(
+        "*", F.lit("x").alias("rep"), F.lit(1).alias("no"), F.lit(2).alias("v"))
+    got = {r["vec_id"]: r for r in vectors.near_vectors(df, tile=32).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = unit @ unit.T >= 0.9
+    assert [got[k]["n_links"] for k in range(900)] == (link.sum(axis=1) - 1).tolist()
+    tiles, met = pairs
+    assert tiles > 20 and tiles <= met < tiles * (tiles + 1) // 4
+
+
+def test_word_codec_of_documents(spark, docs):
+    tok = Tokenizer.from_file(queries.WORD_BPE)
+    got = collections.Counter(map(tuple, queries.op9_word_codec(spark, SF).collect()))
+    want = collections.Counter()
+    for i, t in docs:
+        ids = tok.encode(t or "", add_special_tokens=False).ids
+        text = tok.decode(ids, skip_special_tokens=False)
+        want[(i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+              hashlib.sha256(text.encode()).hexdigest())] += 1
+    assert got == want
+
+
 def test_word_codec(spark, odd):
     tok = Tokenizer.from_file(queries.WORD_BPE)
     out = word_codec.encode(odd, queries.WORD_BPE, lexicon_words=5).collect()
@@ -640,6 +684,42 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
+def test_pipeline_against_brute_force(spark, docs):
+    """Every stage's decisions by plain code, and all that is left packed once."""
+    import corpus_pipeline
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.train(table, spark.read.parquet(f"{SF}/labels.parquet"))
+    x = np.array([quality.statistics(t or "") for _, t in docs], float)
+    left = [d for d, s in zip(docs, model.score(x), strict=True) if s >= 0.5]
+    assert 0 < len(left) < len(docs)
+    first = {}
+    for i, t in sorted(left):
+        first.setdefault(re.sub(r"[\x20\x09-\x0d]+", " ", t or ""), i)
+    unique = [(i, t) for i, t in left if i in set(first.values())]
+    classes = {i: low for i, low, _ in _jaccard(unique)}
+    kept = [(i, t) for i, t in unique if classes[i] == i]
+    assert len(kept) < len(unique) < len(left)
+    tok = Tokenizer.from_file(queries.BYTE_BPE)
+    want = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 0] for i, t in kept}
+    used, seqs = collections.defaultdict(list), collections.defaultdict(list)
+    for r in corpus_pipeline.run(spark, SF).collect():
+        ids = want[r["doc_id"]]
+        piece = ids[r["start"]:r["start"] + r["length"]]
+        assert len(piece) == r["length"] and r["doc_tokens"] == len(ids)
+        assert zlib.crc32(np.array(piece, "<u4").tobytes()) == r["ids_crc32"]
+        used[r["doc_id"]].append((r["start"], r["length"]))
+        seqs[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(used) == set(want)
+    for parts, size in [*((used[i], len(ids)) for i, ids in want.items()),
+                        *((p, sum(n for _, n in p)) for p in seqs.values())]:
+        at = 0
+        for start, n in sorted(parts):
+            assert start == at
+            at += n
+        assert at == size
+    assert all(sum(n for _, n in p) <= 1024 for p in seqs.values())
+
+
 def test_which_operators_have_sql():
     import __spark_entry__ as entry
     ours = {*queries.QUERIES, "pipeline"}
