@@ -15,11 +15,6 @@ def not_null(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNotNull())
 
 
-def reversed_times(df: DataFrame, pickup_col: str, dropoff_col: str) -> DataFrame:
-    """Rows whose drop-off precedes the pickup (NULLs never qualify)."""
-    return df.filter(F.col(dropoff_col) < F.col(pickup_col))
-
-
 def rank_at_most(df: DataFrame, rank_col: str, k: int) -> DataFrame:
     """Top-k by a rank column, ties included."""
     return df.filter(F.col(rank_col) <= k)

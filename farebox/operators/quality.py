@@ -2,8 +2,8 @@
 
 Each check returns violations or status rows instead of raising, so it runs
 as an ordinary distributed job and its result can be inspected, stored or
-compared. ``raise_on_errors`` turns a status table into a gate; it collects
-only the status rows (one per test), never data.
+compared. ``raise_on_errors`` turns collected status rows (one per test) into a
+gate.
 """
 
 from __future__ import annotations
@@ -127,14 +127,11 @@ def freshness(df: DataFrame, ts_col: str, as_of: dt.datetime | str, source: str,
     )
 
 
-def raise_on_errors(status: DataFrame, status_col: str = "status") -> list:
-    """Collect the (small) status table; raise if any row has error status.
-    Returns the warning rows."""
-    rows = status.collect()
+def raise_on_errors(rows: list, status_col: str = "status") -> None:
+    """Raise if any of the status rows (one per test) has error status."""
     errors = [r for r in rows if r[status_col] == ERROR]
     if errors:
         raise DataQualityError("; ".join(str(r.asDict()) for r in errors))
-    return [r for r in rows if r[status_col] == WARN]
 
 
 # --- input file manifest --------------------------------------------------

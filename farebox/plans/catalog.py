@@ -43,7 +43,10 @@ _LAYERS: dict[tuple, DataFrame] = {}
 
 
 def _layer(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (*session_key(spark), d.rstrip("/"), name)
+    own = session_key(spark)
+    for other in [k for k in _LAYERS if k[:len(own)] != own]:
+        del _LAYERS[other]                   # plans of sessions that came before
+    key = (*own, d.rstrip("/"), name)
     df = _LAYERS.get(key)
     if df is None:
         df = _LAYERS[key] = build()
@@ -344,7 +347,9 @@ def topk_zones_by_rank(spark, d):
 
 
 def topk_either_end(spark, d):
-    return reports.tip_behaviour_report(_mart_tip(spark, d))
+    """Hours among the busiest or the quietest three."""
+    return filters.either_rank_at_most(rank_peak_trough(spark, d), "demand_peak_rank",
+                                       "demand_trough_rank", 3)
 
 
 def filter_min_support(spark, d):
@@ -374,7 +379,13 @@ def model_trip_enriched(spark, d):
 
 
 def join_self_aggregate(spark, d):
-    return reports.zone_revenue_report(_mart_zone_revenue(spark, d))
+    """A mart joined with its own ranking, by location, before any cut-off."""
+    mart = sinks.checkpointed(_mart_zone_revenue(spark, d))
+    annual = reports.annual_zone_revenue(mart).select(
+        F.col("pu_location_id").alias("_a_loc"), "annual_revenue", "annual_trip_count",
+        "annual_revenue_rank")
+    return mart.drop("avg_trip_revenue").join(
+        annual, F.col("pu_location_id") == F.col("_a_loc"), "left").drop("_a_loc")
 
 
 # --- aggregations and windows --------------------------------------------
@@ -437,7 +448,7 @@ def rank_tip_high_low(spark, d):
 # --- reports ---------------------------------------------------------------
 
 def report_zone_revenue(spark, d):
-    return reports.zone_revenue_report(_mart_zone_revenue(spark, d))
+    return reports.zone_revenue_report(_mart_zone_revenue(spark, d), materialize_mart=True)
 
 
 def report_demand_timing(spark, d):

@@ -62,10 +62,8 @@ def run(spark: SparkSession, raw_trips: DataFrame, raw_zones: DataFrame, out_dir
             statistics.load_statistics(spark, paths), as_of).collect()   # one row per source
     stg_t, stg_z = models.stg_trips(raw_t), models.stg_zones(raw_z)
     rows = quality.quality_summary(stg_t, stg_z).collect()  # one row per declared test
-    if gate and any(r["status"] == quality.ERROR for r in rows):
-        raise quality.DataQualityError(
-            "; ".join(f"{r['test_name']}({r['model']}.{r['column_name']}): {r['failures']}"
-                      for r in rows if r["status"] == quality.ERROR))
+    if gate:
+        quality.raise_on_errors(rows)
     enriched = release.write(models.trip_enriched(models.trip_metrics(stg_t), stg_z),
                              "intermediate", "int_trip_enriched")
     tables = {"int_trip_enriched": enriched}

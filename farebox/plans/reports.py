@@ -31,7 +31,7 @@ def annual_zone_revenue(mart_zone_revenue: DataFrame) -> DataFrame:
 
 
 def zone_revenue_report(mart_zone_revenue: DataFrame, top: int = TOP_ZONES,
-                        materialize_mart: bool = True) -> DataFrame:
+                        materialize_mart: bool = False) -> DataFrame:
     """Monthly rows of the annual top-``top`` pickup zones, with both ranks.
 
     The annual ranking is joined back on the location id only; the filter on
@@ -39,11 +39,11 @@ def zone_revenue_report(mart_zone_revenue: DataFrame, top: int = TOP_ZONES,
     (which takes a rank slot) never shows, and an id with several
     (borough, zone) rows fans out.
 
-    The mart is read twice (annual ranking, monthly rows). Unless it already
-    is a stored table (``materialize_mart=False``), it is checkpointed first:
-    it is small (months x zones), and otherwise both branches would recompute
-    the whole trip plan, since their column pruning differs and Spark cannot
-    reuse the exchanges.
+    The mart is read twice (annual ranking, monthly rows). Unless it is a stored
+    table, ``materialize_mart`` is worth its job while planning: the mart, which is
+    small (months x zones), is checkpointed first. Else both branches compute the
+    whole trip plan, since their column pruning differs and Spark cannot reuse the
+    exchanges.
     """
     if materialize_mart:
         mart_zone_revenue = checkpointed(mart_zone_revenue)

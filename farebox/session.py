@@ -48,15 +48,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(master: str | None = None, app_name: str = "farebox",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Local/test session: UI off, UTC, AQE on."""
+                  extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """Session with the UI off, UTC, AQE on; ``cluster`` starts from CLUSTER_CONF."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     builder = (builder.config("spark.ui.enabled", "false")
                # Checkpoint files of collected DataFrames are removed as they go.
                .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
-    for key, value in SEMANTIC_CONF.items():
+    for key, value in (SEMANTIC_CONF | (CLUSTER_CONF if cluster else {})).items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

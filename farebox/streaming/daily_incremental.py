@@ -10,6 +10,7 @@ partials: sums of counts and of the parts of exact sums, averages last.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,10 +64,25 @@ def write_partials(cleaned_batch: DataFrame, batch_id: int, partials_dir: str) -
      .partitionBy("batch_id").parquet(partials_dir))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        return not spark.read.format("binaryFile").load(path).select("path").isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def start(spark: SparkSession, input_dir: str, schema: T.StructType, partials_dir: str,
           checkpoint_location: str, files_per_batch: int | None = None,
           available_now: bool = True, path_glob: str = "*.parquet") -> StreamingQuery:
-    """Start the stream over trip files (file layout) in ``input_dir``."""
+    """Start the stream over trip files (file layout) in ``input_dir``.
+
+    Batches are numbered by the checkpoint, so a new checkpoint over old partials
+    would replace some of them and count the other files twice: that is an error."""
+    if _exists(spark, partials_dir) and not _exists(spark, f"{checkpoint_location}/offsets"):
+        raise ValueError(f"{partials_dir} holds partials of another checkpoint than "
+                         f"{checkpoint_location}")
     reader = spark.readStream.schema(schema).option("pathGlobFilter", path_glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

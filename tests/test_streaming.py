@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from farebox.fixtures import star_trips, to_file_layout
@@ -48,6 +49,15 @@ def test_stream_matches_batch_and_is_idempotent(spark, tmp_path):
     assert before > 0
 
 
+def test_a_new_checkpoint_over_old_partials_is_an_error(spark, tmp_path):
+    src, parts = str(tmp_path / "in"), str(tmp_path / "partials")
+    to_file_layout(star_trips(spark, SF001)).limit(50).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    inc.start(spark, src, schema, parts, str(tmp_path / "one")).awaitTermination()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        inc.start(spark, src, schema, parts, str(tmp_path / "two"))
+
+
 def test_merge_of_partials_equals_single_aggregate(spark):
     cleaned = daily.clean_trips(daily.scan_trips_pruned(to_file_layout(star_trips(spark, SF001))))
     halves = [cleaned.filter(F.col("pickup_location_id") % 2 == k) for k in (0, 1)]
