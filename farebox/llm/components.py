@@ -17,21 +17,25 @@ def _print(edges: DataFrame) -> tuple:
                            F.sum(h.cast("decimal(38,0)"))).first())
 
 
-def with_lowest(edges: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame]:
-    """(edges with ``low``, the least value of their key; the (key, low) pairs).
+def join_keyed(rows: DataFrame, keyed: DataFrame, key: str, weight: str) -> DataFrame:
+    """Rows joined with a stored table of one row per key, whose ``weight`` is the
+    number of rows of the key. Keys with more than a HOT_NODES-th of all rows, of
+    which there are at most HOT_NODES, meet their rows where these lie."""
+    total, most = keyed.agg(F.sum(weight), F.max(weight)).first()
+    least = (total or 0) / HOT_NODES
+    if not total or most <= least:
+        return rows.join(keyed, key)
+    hot = F.col(weight) > least
+    near = rows.join(F.broadcast(keyed.where(hot)), key)
+    names = F.broadcast(keyed.where(hot).select(key))
+    return near.unionByName(rows.join(names, key, "left_anti").join(keyed.where(~hot), key))
+
 
-    The pairs come from a grouping, one row per key and task, and are stored. Keys
-    with more than a HOT_NODES-th of all edges, of which there are at most
-    HOT_NODES, meet their edges where these lie; the others are joined."""
+def with_lowest(edges: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """(edges with ``low``, the least value of their key; the (key, low) pairs)."""
     low = stored(edges.groupBy(key).agg(F.min(value).alias("low"), F.count(F.lit(1)).alias("edges")),
                  "cc-low")
-    least = (low.agg(F.sum("edges")).first()[0] or 0) / HOT_NODES
-    hot = F.broadcast(low.where(F.col("edges") > least).select(key, F.col("low").alias("__hot")))
-    split = edges.join(hot, key, "left")
-    near = split.where("__hot is not null").withColumnRenamed("__hot", "low")
-    far = (split.where("__hot is null").drop("__hot")
-           .join(low.where(F.col("edges") <= least).select(key, "low"), key))
-    return near.unionByName(far), low.select(key, "low")
+    return join_keyed(edges, low, key, "edges").drop("edges"), low.select(key, "low")
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

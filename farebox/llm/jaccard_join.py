@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.common import local_roots, mix64, per_worker, small_arrow_batches, stored
-from farebox.llm.components import connected_components
+from farebox.llm.components import connected_components, join_keyed
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -93,32 +93,51 @@ def runs_for(recall: float, threshold: float = THRESHOLD, splits: int = 2) -> in
     return min(COORDS, math.ceil(math.log(1 - recall) / math.log(1 - threshold * q)))
 
 
+def planes_of(x: np.ndarray) -> tuple[bytes, bytes]:
+    """A sketch as its lowest bytes, which are enough to compare two of them
+    leniently, and the others."""
+    b = x.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return b[:, 0].tobytes(), b[:, 1:].tobytes()
+
+
+def from_planes(low: list[bytes], high: list[bytes]) -> np.ndarray:
+    """Sketches as rows of numbers."""
+    b = np.empty((len(low), COORDS, 4), np.uint8)
+    b[..., 0] = np.frombuffer(b"".join(low), np.uint8).reshape(len(low), COORDS)
+    b[..., 1:] = np.frombuffer(b"".join(high), np.uint8).reshape(len(low), COORDS, 3)
+    return b.view("<u4")[..., 0]
+
+
 def _set_key(packed: bytes) -> bytes:
     return hashlib.blake2b(packed, digest_size=16).digest()
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(doc_id, set_key, sketch, shingles) of every row; null set_key without words."""
+    """(doc_id, set_key, low, high, shingles) of every row, the sketch in two parts;
+    null set_key without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, keys, sks, sizes = [], [], [], []
+            ids, keys, lows, highs, sizes = [], [], [], [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 x = shingles(t.as_py() or "", size)
                 ids.append(i)
                 sizes.append(len(x))
                 keys.append(_set_key(x.tobytes()) if len(x) else None)
-                sks.append(sketch(x).tobytes() if len(x) else None)
+                low, high = planes_of(sketch(x)) if len(x) else (None, None)
+                lows.append(low)
+                highs.append(high)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(sks, pa.binary()), pa.array(sizes, pa.int64())],
-                names=["doc_id", "set_key", "sketch", "shingles"])
+                 pa.array(lows, pa.binary()), pa.array(highs, pa.binary()),
+                 pa.array(sizes, pa.int64())],
+                names=["doc_id", "set_key", "low", "high", "shingles"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        run, "doc_id long, set_key binary, sketch binary, shingles long")
+        run, "doc_id long, set_key binary, low binary, high binary, shingles long")
 
 
 def _children(nodes: DataFrame, threshold: float, runs: range | None = None) -> DataFrame:
-    """Send each (node, rep, n, sketch) to its children; to start, the roots of ``runs``.
+    """Send each (node, rep, n, low, high) to its children; to start, the roots of ``runs``.
     Children know the size of the node they come from."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coords = np.arange(COORDS, dtype=np.uint64)
@@ -127,8 +146,7 @@ def _children(nodes: DataFrame, threshold: float, runs: range | None = None) ->
             if not len(b):
                 continue
             reps = b.column("rep").to_numpy()
-            sk = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint32)
-            sk = sk.reshape(len(b), COORDS)
+            sk = from_planes(b.column("low").to_pylist(), b.column("high").to_pylist())
             roots = ([(r, np.full(len(b), r + 1, np.uint64)) for r in runs] if runs else
                      [(0, b.column("node").to_numpy().view(np.uint64))])
             node, who = [], []
@@ -146,7 +164,7 @@ def _children(nodes: DataFrame, threshold: float, runs: range | None = None) ->
                 [pa.array(np.concatenate(node).view(np.int64)), pa.array(reps[who]),
                  b.column("n").take(pa.array(who))], names=["node", "rep", "parent_n"])
 
-    cols = ["rep", "n", "sketch"] if runs else ["node", "rep", "n", "sketch"]
+    cols = ["rep", "n", "low", "high"] if runs else ["node", "rep", "n", "low", "high"]
     return nodes.select(*cols).mapInArrow(run, "node long, rep long, parent_n long")
 
 
@@ -196,8 +214,8 @@ def compare_blocks(blocks: DataFrame, compare, schema: str, payload_type) -> Dat
 
 def _by_sketch(least: float):
     def compare(reps, sketches, reps2, sketches2):
-        x = np.frombuffer(b"".join(sketches), np.uint32).reshape(len(reps), COORDS)
-        y = x if reps2 is None else np.frombuffer(b"".join(sketches2), np.uint32).reshape(
+        x = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(reps), COORDS)
+        y = x if reps2 is None else np.frombuffer(b"".join(sketches2), np.uint8).reshape(
             len(reps2), COORDS)
         found = []
         for k in range(0, len(x), 64):
@@ -283,7 +301,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     usable = F.col("doc_id").isNotNull() & F.col("set_key").isNotNull()
     reps = stored(sets.where(usable).groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
-        F.min("sketch").alias("sketch"), F.min("shingles").alias("shingles")), "jaccard-reps")
+        F.min("low").alias("low"), F.min("high").alias("high"),
+        F.min("shingles").alias("shingles")), "jaccard-reps")
 
     edges, some = None, reps
     # splits below the first that the runs made so far allow for
@@ -292,14 +311,16 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         nodes = _children(some.withColumn("n", F.lit(2 ** 62)), threshold, range(made, wanted))
         deep = None
         for level in range(levels):
-            sizes = nodes.groupBy("node").count().where("count > 1").withColumnRenamed("count", "n")
-            members = stored(nodes.join(sizes, "node").join(reps.select("rep", "sketch"), "rep"),
-                             "jaccard-nodes")
+            nodes = stored(nodes, "jaccard-children")
+            sizes = stored(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+                           "jaccard-sizes")
+            # sketches are fetched where they are used, not kept with every node
+            members = stored(join_keyed(nodes, sizes, "node", "n"), "jaccard-nodes")
             last = level == levels - 1
             ends = (F.col("n") <= block) | (F.col("n") >= F.col("parent_n") * DENSE) | F.lit(last)
-            here = members.where(ends)
+            here = members.where(ends).join(reps.select("rep", "low"), "rep")
             found = compare_blocks(
-                in_blocks(here.withColumnRenamed("node", "grp"), "sketch", block),
+                in_blocks(here.withColumnRenamed("node", "grp"), "low", block),
                 _by_sketch(threshold - LENIENT), "rep long, root long, links long", "array<binary>")
             found = found.select("rep", "root").distinct()
             edges = found if edges is None else edges.union(found)
@@ -309,7 +330,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if level >= 2:                     # deeper than the first runs allow for
                 depth = max(depth, level + 1)
                 deep = large.select("rep") if deep is None else deep.union(large.select("rep"))
-            nodes = _children(large, threshold)
+            nodes = _children(large.join(reps.select("rep", "low", "high"), "rep"), threshold)
         if deep is None:
             break
         # both sets of a pair that such a node parts are in it: they alone run again
