@@ -2,15 +2,15 @@
 
 Every document has a 64-bit key, the first bits of its text's SHA-256. The
 directory maps the leading bits of a key to a bucket. It starts with one entry;
-while some bucket holds more distinct texts than ``capacity`` the directory
-doubles and exactly the overfull buckets split. The index entries, one per
-distinct text with its smallest id and its count, are written to the shared
-folder in key order, so that each owner task holds one range of buckets; texts
-that share a key are chained: an owner groups by key and whole text, which
-compares bytes.
-
-DataFrame operations only. Copies are counted before the shuffle, so a text held
-by a third of all rows costs each task one row.
+while some bucket holds more keys than ``capacity`` the directory doubles and
+exactly the overfull buckets split. Texts are dealt out by their bucket, so an owner
+task holds whole buckets. It groups by key and text, which compares bytes, and
+chains the texts that share a key; the chains are the index, written to the shared
+folder. Every row then looks up its bucket and key, and in a chain of several texts
+its own by the whole SHA-256.
+
+DataFrame operations only. The few texts that very many rows hold are counted where
+they lie before they go to their owner, so that none of them fills a task.
 """
 
 from __future__ import annotations
@@ -19,9 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.common import stored
+from farebox.llm.components import join_keyed
 
-CAPACITY = 250_000
+CAPACITY = 2_000
 MAX_DEPTH = 16
+HOT_KEYS = 8192          # a key with more than this part of all rows is counted where it lies
+HOT_ROWS = 64            # and at least so many
 _FIRST_BITS = 16
 
 
@@ -58,28 +61,52 @@ def _prefix(key: Column, bits: int) -> Column:
     return F.shiftright(F.conv(F.substring(key, 1, 4), 16, 10).cast("int"), 16 - bits)
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    norm = normalised(F.col(text_col))
+    return docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm"),
+                       F.sha2(norm, 256).alias("sha256")).withColumn(
+        "key", F.substring("sha256", 1, 16))
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                capacity: int = CAPACITY) -> DataFrame:
-    """Entries of the index, stored: key, bucket, keep_id, group_size, sha256.
-
-    One row per distinct normalised text; an empty table gives no rows."""
-    norm = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("norm"))
-    # the whole text is a grouping key: texts that share a key stay apart, by bytes
-    entries = (norm.groupBy("norm").agg(F.min("doc_id").alias("keep_id"),
-                                        F.count(F.lit(1)).alias("group_size"))
-               .select(F.sha2("norm", 256).alias("sha256"), "keep_id", "group_size",
-                       F.octet_length("norm").alias("n_bytes"))
-               .withColumn("key", F.substring("sha256", 1, 16)))
-    entries = stored(entries, "exact-entries")
-    top = entries.groupBy(_prefix(F.col("key"), _FIRST_BITS).alias("p")).count()
+                capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:
+    """(rows, index), both stored. rows: doc_id, sha256, key of every input row. index:
+    key, bucket, rows (how many have the key) and chain, an array of sha256, keep_id,
+    group_size; one row per key. An empty table gives no rows."""
+    texts = _keyed(docs, id_col, text_col)
+    rows = stored(texts.select("doc_id", "sha256", "key"), "exact-rows")
+    keys = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "exact-keys")
+    top = keys.groupBy(_prefix(F.col("key"), _FIRST_BITS).alias("p")).count()
     # at most 2^16 numbers, whatever the input
     counts = {r["p"]: r["count"] for r in top.collect()}
     depth, table = directory(counts, min(MAX_DEPTH, _FIRST_BITS), capacity)
     bucket = F.element_at(F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>"),
                           _prefix(F.col("key"), depth) + 1) if depth else F.lit(0)
-    owned = (entries.withColumn("bucket", bucket.cast("int"))
-             .repartitionByRange("bucket", "key").sortWithinPartitions("key"))
-    return stored(owned, "exact-index")
+    texts = texts.withColumn("bucket", bucket.cast("int"))
+
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    # at most HOT_KEYS rows
+    hot = F.broadcast(keys.where(F.col("n") > max(total / HOT_KEYS, HOT_ROWS)).select("key"))
+    counted = [F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
+    of_text = ["bucket", "key", "sha256", "norm"]     # the hash says nothing that the text doesn't
+    # the owners' exchange is by bucket alone; grouping needs no other
+    owned = texts.join(hot, "key", "left_anti").repartition("bucket").groupBy(*of_text).agg(*counted)
+    entry = F.struct("sha256", "keep_id", "group_size")
+
+    def chains(entries: DataFrame) -> DataFrame:
+        return entries.groupBy("bucket", "key").agg(
+            F.sum("group_size").alias("rows"), F.sort_array(F.collect_list(entry)).alias("chain"))
+
+    few = texts.join(hot, "key", "left_semi").groupBy(*of_text).agg(*counted)
+    return rows, stored(chains(owned).unionByName(chains(few)), "exact-index")
+
+
+def looked_up(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """Each row with the entry of its text: keep_id, group_size."""
+    found = join_keyed(rows, index.drop("bucket"), "key", "rows")
+    own = F.when(F.size("chain") == 1, F.element_at("chain", 1)).otherwise(F.element_at(
+        F.filter("chain", lambda e: e["sha256"] == F.col("sha256")), 1))
+    return found.withColumn("e", own).select("doc_id", "sha256", "e.keep_id", "e.group_size")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -90,34 +117,30 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sort behind all others and stay only where the whole group has none. Rows
     that repeat the same id and text are all in the group; each is marked kept
     if its id is the group's. Other columns are ignored."""
-    index = build_index(docs, id_col, text_col, capacity)
-    keyed = docs.select(F.col(id_col).alias("doc_id"),
-                        F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"))
-    joined = keyed.join(index.select("sha256", "keep_id", "group_size"),
-                        F.col("text_sha256") == F.col("sha256"))
-    return joined.select("doc_id", "keep_id", "group_size",
-                         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-                         "text_sha256")
+    rows, index = build_index(docs, id_col, text_col, capacity)
+    return looked_up(rows, index).select(
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        F.col("sha256").alias("text_sha256"))
 
 
-def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   capacity: int = CAPACITY) -> DataFrame:
     """The rows of ``docs`` that stay, all columns. Of rows that repeat both id
     and text one stays."""
-    index = build_index(docs, id_col, text_col)
-    keep = index.select(F.col("keep_id").alias("__keep"), F.col("sha256").alias("__sha"))
-    sha = F.sha2(normalised(F.col(text_col)), 256)
-
-    def staying(rows: DataFrame) -> DataFrame:
-        named = rows.withColumn("__of", sha)
-        return named.join(keep, F.col(id_col).eqNullSafe(F.col("__keep"))
-                          & (F.col("__of") == F.col("__sha")), "left_semi")
-
+    rows, index = build_index(docs, id_col, text_col, capacity)
+    keep = index.select(F.explode("chain").alias("e")).select(
+        F.col("e.keep_id").alias("__keep"), F.col("e.sha256").alias("__sha"))
+    named = docs.withColumn("__of", F.sha2(normalised(F.col(text_col)), 256))
+    kept = named.join(keep, F.col(id_col).eqNullSafe(F.col("__keep"))
+                      & (F.col("__of") == F.col("__sha")), "left_semi")
     # a row that stays more than once is rare: only such rows are grouped whole
-    repeated = (staying(docs.select(id_col, text_col)).groupBy(id_col, "__of").count()
-                .where("count > 1").select(F.col(id_col).alias("__rid"),
-                                           F.col("__of").alias("__rsha")))
+    repeated = stored(looked_up(rows, index).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+                      .groupBy("doc_id", "sha256").count().where("count > 1")
+                      .select(F.col("doc_id").alias("__rid"), F.col("sha256").alias("__rsha")),
+                      "exact-repeated")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
     same = F.col(id_col).eqNullSafe(F.col("__rid")) & (F.col("__of") == F.col("__rsha"))
-    kept = staying(docs)
     once = kept.join(repeated, same, "left_anti").select(*docs.columns)
     more = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, "__of"])
     return once.unionByName(more.select(*docs.columns))

@@ -83,7 +83,7 @@ def test_quality(spark, odd):
     assert quality.score(odd.limit(0), model).count() == 0
 
 
-def test_exact(spark, odd):
+def test_exact(spark, odd, monkeypatch):
     def norm(t):
         return re.sub(r"[\x20\x09-\x0d]+", " ", t or "")
     groups = collections.defaultdict(list)
@@ -101,6 +101,44 @@ def test_exact(spark, odd):
     assert exact_dedup.exact_dedup(odd.limit(0)).count() == 0
     kept = exact_dedup.kept_documents(odd)
     assert kept.columns == odd.columns and kept.count() == len(groups)
+    # every text is hot, or none is; chains of several texts
+    for keys, rows in ((1, 10 ** 9), (10 ** 9, 0)):
+        monkeypatch.setattr(exact_dedup, "HOT_KEYS", keys)
+        monkeypatch.setattr(exact_dedup, "HOT_ROWS", rows)
+        assert collections.Counter(map(tuple, exact_dedup.exact_dedup(odd, capacity=2).collect())) == want
+    keyed = exact_dedup._keyed
+    monkeypatch.setattr(exact_dedup, "_keyed", lambda *a: keyed(*a).withColumn(
+        "key", F.concat(F.substring("sha256", 1, 1), F.lit("000"))))
+    rows, index = exact_dedup.build_index(odd, capacity=2)
+    assert 1 < index.agg(F.max(F.size("chain"))).first()[0] and index.count() < len(groups)
+    assert collections.Counter(map(tuple, exact_dedup.exact_dedup(odd, capacity=2).collect())) == want
+    assert exact_dedup.kept_documents(odd, capacity=2).count() == len(groups)
+    names = index.columns
+    assert names == ["bucket", "key", "rows", "chain"]
+
+
+def test_owners_hold_whole_buckets(spark):
+    """The grouping of texts follows the exchange by bucket without one of its own."""
+    df = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("t "), F.col("id") % 300).alias("text"))
+    plans = []
+
+    def look(out, name):
+        if name == "exact-index":
+            text = io.StringIO()
+            with contextlib.redirect_stdout(text):
+                out.explain()
+            plans.append(text.getvalue())
+        return stored(out, name)
+
+    patch = pytest.MonkeyPatch()
+    with patch.context() as m:
+        m.setattr(exact_dedup, "stored", look)
+        rows, index = exact_dedup.build_index(df, capacity=20)
+    assert "SortAggregate" not in plans[0]
+    owners = plans[0].split("Union")[1].split("BroadcastExchange")[0]
+    assert owners.count("Exchange hashpartitioning(bucket") == owners.count("Exchange ") == 1
+    sizes = index.groupBy("bucket").agg(F.sum(F.size("chain")).alias("n")).collect()
+    assert len(sizes) > 10 and max(r["n"] for r in sizes) <= 20
 
 
 def test_directory_splits_only_overfull_buckets():
