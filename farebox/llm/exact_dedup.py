@@ -103,7 +103,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def looked_up(rows: DataFrame, index: DataFrame) -> DataFrame:
     """Each row with the entry of its text: keep_id, group_size."""
-    found = join_keyed(rows, index.drop("bucket"), "key", "rows")
+    found = join_keyed(rows, index.drop("bucket"), "key", "rows", rows.count())
     own = F.when(F.size("chain") == 1, F.element_at("chain", 1)).otherwise(F.element_at(
         F.filter("chain", lambda e: e["sha256"] == F.col("sha256")), 1))
     return found.withColumn("e", own).select("doc_id", "sha256", "e.keep_id", "e.group_size")

@@ -312,10 +312,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         deep = None
         for level in range(levels):
             nodes = stored(nodes, "jaccard-children")
-            sizes = stored(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
-                           "jaccard-sizes")
+            sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
             # sketches are fetched where they are used, not kept with every node
-            members = stored(join_keyed(nodes, sizes, "node", "n"), "jaccard-nodes")
+            members = stored(join_keyed(nodes, sizes, "node", "n", nodes.count()), "jaccard-nodes")
             last = level == levels - 1
             ends = (F.col("n") <= block) | (F.col("n") >= F.col("parent_n") * DENSE) | F.lit(last)
             here = members.where(ends).join(reps.select("rep", "low"), "rep")

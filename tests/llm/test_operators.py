@@ -228,7 +228,7 @@ def test_components_with_hot_nodes(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r["node"]: r["component"] for r in components.connected_components(df).collect()}
     assert got == {x: find(x) for e in edges for x in e if e[0] != e[1] or x in got}
-    both, low = components.with_lowest(df, "a", "b")
+    both, low = components.with_lowest(df, "a", "b", df.count())
     assert both.count() == len(edges) and low.count() == len({a for a, _ in edges})
     assert components.connected_components(df.limit(0)).count() == 0
 
