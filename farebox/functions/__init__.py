@@ -2,7 +2,7 @@
 
 from farebox.functions.labels import distance_bucket, period_label
 from farebox.functions.numeric import (
-    exact_avg, exact_sum, fixed_part, from_parts, guarded_ratio, rest_part, round2, to_int,
+    PARTS, exact_avg, exact_sum, from_parts, guarded_ratio, round2, sum_parts, to_int,
 )
 from farebox.functions.temporal import (
     day_name, elapsed_minutes, elapsed_seconds, hour_part, is_weekend,
@@ -11,8 +11,8 @@ from farebox.functions.temporal import (
 
 __all__ = [
     "day_name", "distance_bucket", "elapsed_minutes", "elapsed_seconds",
-    "exact_avg", "exact_sum", "fixed_part", "from_parts", "guarded_ratio", "hour_part",
-    "is_weekend", "rest_part",
+    "PARTS", "exact_avg", "exact_sum", "from_parts", "guarded_ratio", "hour_part",
+    "is_weekend", "sum_parts",
     "minute_boundaries", "month_number", "month_start", "period_label",
     "pickup_date", "round2", "to_int", "year_part",
 ]

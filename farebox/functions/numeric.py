@@ -4,8 +4,10 @@ ratios, rounding casts.
 All helpers return Catalyst expressions (no UDFs), so they stay inside
 whole-stage code generation. A double stands for its shortest decimal form
 (1.005, stored as 1.00499999..., is 1.005): it is rounded once, half away from
-zero, from that form. Sums add the decimals of the values exactly, so they do not
-depend on row order or partitioning.
+zero, from that form. Sums add these forms exactly, so they do not depend on row
+order or partitioning: each value falls in one bin by its size and digits, every bin
+holds whole multiples of its own unit and is summed as such, and the bins' sums are
+put together once.
 """
 
 from __future__ import annotations
@@ -15,11 +17,17 @@ from pyspark.sql import functions as F
 
 from farebox.functions.util import as_col
 
-# Sums hold 12 decimals and 26 digits before the point. NaN, infinities and values
-# that leave no room for 10^11 more of their kind are added as doubles instead;
-# doubles of that size carry no cents.
-SUM_TYPE = "decimal(38,12)"
-SUM_REACH = 1e15
+# Amounts of up to six decimals and 15 digits, which is nearly all of them, are whole
+# numbers of millionths; their sum is kept in two parts that no count of rows overflows.
+_UNIT = 1e6
+_DIGITS = 1e15
+_SPLIT = 20
+# The others: bin, least size, unit. Each bin holds all 17 digits of its doubles (the
+# first one those of 1e-13 and more) and has room for 10^10 of its largest.
+_BINS = [("small", 0.0, "decimal(38,30)"), ("plain", 1e-3, "decimal(38,20)"),
+         ("large", 1e7, "decimal(38,10)")]
+_HUGE = 1e18                 # doubles from here on carry no cents and are added as such
+PARTS = ["hi", "lo", *(name for name, _, _ in _BINS), "rest"]
 
 
 def round2(c, places: int = 2) -> Column:
@@ -28,32 +36,50 @@ def round2(c, places: int = 2) -> Column:
     return F.round(as_col(c), places)
 
 
-def _in_reach(col: Column) -> Column:
-    return F.abs(col) < SUM_REACH       # false for NaN, which sorts above all numbers
-
-
-def fixed_part(c) -> Column:
-    """SUM of the values that decimals hold, as a decimal; parts of several
-    groups merge by SUM."""
-    col = as_col(c)
-    return F.sum(F.when(_in_reach(col), col.cast(SUM_TYPE)))
-
-
-def rest_part(c) -> Column:
-    """SUM of the other values (NaN, infinite, very large), as a double."""
+def sum_parts(c) -> dict[str, Column]:
+    """SUM as parts, by the names of PARTS; parts of several groups merge by SUM."""
     col = as_col(c).cast("double")
-    return F.sum(F.when(~_in_reach(col), col))
-
-
-def from_parts(fixed, rest) -> Column:
+    units = F.rint(col * _UNIT)
+    # such a number of units is the shortest decimal form, and no other is as short
+    whole = (F.abs(units) < _DIGITS) & (units / _UNIT == col)
+    n = F.when(whole, units.cast("bigint"))
+    size = F.abs(col)
+    parts = {"hi": F.shiftright(n, _SPLIT), "lo": n.bitwiseAND((1 << _SPLIT) - 1)}
+    ends = [least for _, least, _ in _BINS[1:]] + [_HUGE]
+    for (name, least, unit), end in zip(_BINS, ends, strict=True):
+        parts[name] = F.when(~whole & (size >= least) & (size < end), col.cast(unit))
+    # NaN sorts above all numbers
+    parts["rest"] = F.when(size >= _HUGE, col)
+    return {name: F.sum(part) for name, part in parts.items()}
+
+
+def from_parts(parts: dict[str, Column]) -> Column:
     """The sum as a double; NULL when there was no value."""
-    exact, other = as_col(fixed).cast("double"), as_col(rest)
-    return F.when(other.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + other)
+    p = {name: as_col(part) for name, part in parts.items()}
+    names = [name for name, _, _ in _BINS]
+    count = (p["hi"].cast("decimal(26,0)") * (1 << _SPLIT) + p["lo"]).cast("decimal(38,0)")
+    units = (count * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(38,6)")
+
+    def added(kind: str, columns: list[Column]) -> Column:
+        total = F.lit(0).cast(kind)
+        for c in columns:
+            total = (total + F.coalesce(c.try_cast(kind), F.lit(0).cast(kind))).cast(kind)
+        return total.cast("double")
+
+    bins = [units, *(p[n] for n in names)]
+    # 26 decimals while they fit, so that small bins count in full
+    near = F.coalesce(F.abs(units) < 1e11, F.lit(True)) & F.coalesce(
+        F.abs(p["large"]) < 1e11, F.lit(True)) & F.coalesce(F.abs(p["plain"]) < 1e11, F.lit(True))
+    mixed = F.when(near, added("decimal(38,26)", bins)).otherwise(added("decimal(38,10)", bins))
+    no_others = p["plain"].isNull() & p["large"].isNull()
+    exact = (F.when(no_others & p["small"].isNull(), units.cast("double"))
+             .when(no_others & p["hi"].isNull(), p["small"].cast("double")).otherwise(mixed))
+    return F.when(p["rest"].isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + p["rest"])
 
 
 def exact_sum(c) -> Column:
     """SUM, exact in decimals, as the nearest double."""
-    return from_parts(fixed_part(c), rest_part(c))
+    return from_parts(sum_parts(c))
 
 
 def exact_avg(c) -> Column:

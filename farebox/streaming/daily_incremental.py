@@ -27,25 +27,27 @@ def partial_daily(cleaned: DataFrame) -> DataFrame:
     secs = F.col("trip_duration_seconds")
     aggs = [F.count(F.lit(1)).alias("trip_count")]
     for c in ["total_amount", *_SUMMED]:
-        aggs += [fx.fixed_part(c).alias(f"sum_{c}"), fx.rest_part(c).alias(f"rest_{c}"),
-                 F.count(c).alias(f"n_{c}")]
+        aggs += [part.alias(f"sum_{c}_{name}") for name, part in fx.sum_parts(c).items()]
+        aggs.append(F.count(c).alias(f"n_{c}"))
     aggs += [F.sum(secs).alias("sum_seconds"), F.count(secs).alias("n_seconds")]
     return cleaned.groupBy(*daily.DAILY_KEYS).agg(*aggs)
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:
     """Final daily x zone aggregate, identical to ``daily.daily_zone``."""
-    summed = [c for c in partials.columns if c.startswith(("sum_", "rest_", "n_"))] + ["trip_count"]
+    summed = [c for c in partials.columns if c.startswith(("sum_", "n_"))] + ["trip_count"]
     m = partials.groupBy(*daily.DAILY_KEYS).agg(*[F.sum(c).alias(c) for c in summed])
 
+    def total(c: str):
+        return fx.from_parts({name: f"sum_{c}_{name}" for name in fx.PARTS})
+
     def avg(c: str):
         n = F.col(f"n_{c}")
-        total = fx.from_parts(f"sum_{c}", f"rest_{c}")
-        return F.when(n > 0, total / n.cast("double")).alias(f"avg_{c}")
+        return F.when(n > 0, total(c) / n.cast("double")).alias(f"avg_{c}")
 
     return m.select(
         *daily.DAILY_KEYS, "trip_count",
-        fx.from_parts("sum_total_amount", "rest_total_amount").alias("total_revenue"),
+        total("total_amount").alias("total_revenue"),
         *map(avg, _SUMMED),
         F.when(F.col("n_seconds") > 0,
                (F.col("sum_seconds").cast("double") / 60) / F.col("n_seconds").cast("double")

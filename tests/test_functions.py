@@ -99,7 +99,10 @@ def test_round2_matches_decimal_rule_on_random_values(spark):
 @pytest.mark.parametrize("vals,total", [
     ([1e13, 1e13, 0.01], 2e13 + 0.01), ([4e-7, 4e-7], 8e-7), ([0.1, 0.2, None], 0.3),
     ([1e18, 1.0, None], 1e18), ([float("inf"), 4.0], float("inf")), ([None, None], None),
-    ([1e15, -1e15, 0.25], 0.25)])
+    ([1e15, -1e15, 0.25], 0.25), ([4e-13, 4e-13], 8e-13), ([1e15, 0.25], 1e15 + 0.25),
+    ([0.25, 4e-13], 0.2500000000004), ([1e9 + 0.1, 1 / 3, 1e-9], 1000000000.4333333343333333),
+    ([-0.01, 0.03, -0.02], 0.0), ([-1e6] * 3 + [0.5], -2999999.5), ([123456789.123456] * 7, 864197523.864192),
+    ([9007199254740993.0, -1.0, 1 / 3], 9007199254740991.333), ([-1e-7, -2e-7], -3e-7)])
 def test_sums_and_averages_of_any_size(spark, vals, total):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     r = df.agg(fx.exact_sum("x").alias("s"), fx.exact_avg("x").alias("a")).first()
@@ -107,6 +110,32 @@ def test_sums_and_averages_of_any_size(spark, vals, total):
     assert r.s == total and r.a == (None if total is None else total / n)
 
 
+def test_sums_equal_those_of_decimals_in_any_order(spark):
+    """Amounts of all sizes and digits against Python's decimals, forwards, backwards
+    and merged from partial sums."""
+    import decimal
+    import random
+    rng = random.Random(6)
+    groups = []
+    for g in range(60):
+        top = 10.0 ** rng.randint(-9, 14)
+        places = rng.choice([0, 1, 2, 4, 6, 9, 17])
+        groups += [(g, round(rng.uniform(-top, top), places)) for _ in range(rng.randint(1, 60))]
+    with decimal.localcontext(decimal.Context(prec=400)):
+        want = {}
+        for g, v in groups:
+            want[g] = want.get(g, decimal.Decimal(0)) + decimal.Decimal(repr(v))
+        want = {g: float(t) for g, t in want.items()}
+    for rows in (groups, groups[::-1]):
+        df = spark.createDataFrame(rows, "g int, x double").repartition(5)
+        assert {r.g: r.s for r in df.groupBy("g").agg(fx.exact_sum("x").alias("s")).collect()} == want
+        halves = df.withColumn("h", F.hash("x") % 2).groupBy("g", "h").agg(
+            *[p.alias(n) for n, p in fx.sum_parts("x").items()])
+        merged = halves.groupBy("g").agg(*[F.sum(n).alias(n) for n in fx.PARTS])
+        assert {r.g: r.s for r in merged.select("g", fx.from_parts(
+            {n: n for n in fx.PARTS}).alias("s")).collect()} == want
+
+
 def test_nan_stays_in_sums_and_averages(spark):
     df = spark.createDataFrame([(float("nan"),), (4.0,)], "x double")
     r = df.agg(fx.exact_sum("x").alias("s"), fx.exact_avg("x").alias("a")).first()
