@@ -7,7 +7,7 @@ whole-stage code generation. A double stands for its shortest decimal form
 zero, from that form. Sums add these forms exactly, so they do not depend on row
 order or partitioning: each value falls in one bin by its size and digits, every bin
 holds whole multiples of its own unit and is summed as such, and the bins' sums are
-put together once.
+put together once. NaN, infinities and doubles from 1e18 on have a bin of doubles.
 """
 
 from __future__ import annotations
@@ -22,12 +22,11 @@ from farebox.functions.util import as_col
 _UNIT = 1e6
 _DIGITS = 1e15
 _SPLIT = 20
-# The others: bin, least size, unit. Each bin holds all 17 digits of its doubles (the
-# first one those of 1e-13 and more) and has room for 10^10 of its largest.
-_BINS = [("small", 0.0, "decimal(38,30)"), ("plain", 1e-3, "decimal(38,20)"),
-         ("large", 1e7, "decimal(38,10)")]
-_HUGE = 1e18                 # doubles from here on carry no cents and are added as such
-PARTS = ["hi", "lo", *(name for name, _, _ in _BINS), "rest"]
+# The others are decimals with room for a million of the largest; digits past the
+# 14th decimal are cut. Doubles from _HUGE on carry no cents and are added as such.
+_OTHER = "decimal(38,14)"
+_HUGE = 1e18
+PARTS = ["hi", "lo", "other", "rest"]
 
 
 def round2(c, places: int = 2) -> Column:
@@ -43,37 +42,24 @@ def sum_parts(c) -> dict[str, Column]:
     # such a number of units is the shortest decimal form, and no other is as short
     whole = (F.abs(units) < _DIGITS) & (units / _UNIT == col)
     n = F.when(whole, units.cast("bigint"))
-    size = F.abs(col)
-    parts = {"hi": F.shiftright(n, _SPLIT), "lo": n.bitwiseAND((1 << _SPLIT) - 1)}
-    ends = [least for _, least, _ in _BINS[1:]] + [_HUGE]
-    for (name, least, unit), end in zip(_BINS, ends, strict=True):
-        parts[name] = F.when(~whole & (size >= least) & (size < end), col.cast(unit))
-    # NaN sorts above all numbers
-    parts["rest"] = F.when(size >= _HUGE, col)
+    huge = F.abs(col) >= _HUGE           # NaN too, which sorts above all numbers
+    parts = {"hi": F.shiftright(n, _SPLIT), "lo": n.bitwiseAND((1 << _SPLIT) - 1),
+             "other": F.when(~whole & ~huge, col.cast(_OTHER)), "rest": F.when(huge, col)}
     return {name: F.sum(part) for name, part in parts.items()}
 
 
 def from_parts(parts: dict[str, Column]) -> Column:
     """The sum as a double; NULL when there was no value."""
     p = {name: as_col(part) for name, part in parts.items()}
-    names = [name for name, _, _ in _BINS]
-    count = (p["hi"].cast("decimal(26,0)") * (1 << _SPLIT) + p["lo"]).cast("decimal(38,0)")
-    units = (count * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(38,6)")
-
-    def added(kind: str, columns: list[Column]) -> Column:
-        total = F.lit(0).cast(kind)
-        for c in columns:
-            total = (total + F.coalesce(c.try_cast(kind), F.lit(0).cast(kind))).cast(kind)
-        return total.cast("double")
-
-    bins = [units, *(p[n] for n in names)]
-    # 26 decimals while they fit, so that small bins count in full
-    near = F.coalesce(F.abs(units) < 1e11, F.lit(True)) & F.coalesce(
-        F.abs(p["large"]) < 1e11, F.lit(True)) & F.coalesce(F.abs(p["plain"]) < 1e11, F.lit(True))
-    mixed = F.when(near, added("decimal(38,26)", bins)).otherwise(added("decimal(38,10)", bins))
-    no_others = p["plain"].isNull() & p["large"].isNull()
-    exact = (F.when(no_others & p["small"].isNull(), units.cast("double"))
-             .when(no_others & p["hi"].isNull(), p["small"].cast("double")).otherwise(mixed))
+    # below 2^53 units are exact as a double, and so is their quotient's rounding
+    few = F.abs(p["hi"]) < 1 << (53 - _SPLIT)
+    units = (p["hi"].cast("decimal(20,0)") * (1 << _SPLIT) + p["lo"]).cast("decimal(32,0)")
+    amount = (units * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(37,14)")
+    exact = (F.when(p["other"].isNull() & (few | p["hi"].isNull()),
+                    (F.shiftleft(p["hi"], _SPLIT) + p["lo"]) / F.lit(_UNIT))
+             .otherwise((F.coalesce(amount, F.lit(0).cast("decimal(37,14)"))
+                         + F.coalesce(p["other"].cast("decimal(37,14)"),
+                                      F.lit(0).cast("decimal(37,14)"))).cast("double")))
     return F.when(p["rest"].isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + p["rest"])
 
 
