@@ -136,3 +136,20 @@ def test_tip_filter_equivalence(layers):
     a = e.filter(F.col("tip_percentage").isNotNull()).count()
     b = e.filter(F.col("tip_amount").isNotNull()).count()
     assert a == b
+
+
+def test_topk_either_end_is_of_tip_groups(spark, monkeypatch):
+    """Of 50 groups with enough trips the 20 highest and the 20 lowest, as the
+    reference's report has them, and none of the group with too few trips."""
+    from farebox.plans import catalog
+    rows = [(i, "B", f"Z{i}", 1, "short", 1 if i == 50 else 100, 1.0, float(i), 1.0, 5.0)
+            for i in range(51)]
+    mart = spark.createDataFrame(
+        rows, "pu_location_id int, pickup_borough string, pickup_zone string, payment_type int, "
+        "distance_bucket string, trip_count bigint, avg_trip_distance double, "
+        "avg_tip_percentage double, avg_tip_amount double, avg_total_amount double")
+    monkeypatch.setattr(catalog, "_mart_tip", lambda spark, d: mart)
+    out = catalog.topk_either_end(spark, "")
+    assert out.columns[-2:] == ["highest_tip_rank", "lowest_tip_rank"]
+    got = {r.pickup_zone: (r.highest_tip_rank, r.lowest_tip_rank) for r in out.collect()}
+    assert got == {f"Z{i}": (50 - i, i + 1) for i in [*range(20), *range(30, 50)]}
