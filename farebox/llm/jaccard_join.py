@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.common import local_roots, mix64, per_worker, small_arrow_batches, stored
-from farebox.llm.components import connected_components, join_keyed
+from farebox.llm.components import connected_components
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -312,9 +312,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         deep = None
         for level in range(levels):
             nodes = stored(nodes, "jaccard-children")
-            sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            # stored: of a join of two stored tables Spark splits the keys with very many rows
+            sizes = stored(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+                           "jaccard-sizes")
             # sketches are fetched where they are used, not kept with every node
-            members = stored(join_keyed(nodes, sizes, "node", "n", nodes.count()), "jaccard-nodes")
+            members = stored(nodes.join(sizes, "node"), "jaccard-nodes")
             last = level == levels - 1
             ends = (F.col("n") <= block) | (F.col("n") >= F.col("parent_n") * DENSE) | F.lit(last)
             here = members.where(ends).join(reps.select("rep", "low"), "rep")

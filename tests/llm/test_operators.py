@@ -207,6 +207,35 @@ def test_jaccard_recall_in_a_large_family(spark, monkeypatch):
     assert max(splits) > 2 and runs[0] >= jaccard_join.runs_for(0.99, 0.8, max(splits))
 
 
+def test_jaccard_node_sizes_by_one_join_of_stored_tables(spark, monkeypatch):
+    """Every set of a node of several gets the node's size, those of a very large node
+    too, by one join that has nothing but two stored tables below it."""
+    seen, write = [], jaccard_join.stored
+
+    def stored(df, name):
+        out = write(df, name)
+        seen.append((name, df, out))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    words = [f"c{k}" for k in range(60)]
+    rows = [(k, " ".join([*words, f"end{k}"])) for k in range(40)]
+    rows += [(100 + k, " ".join(f"w{k}x{j}" for j in range(30))) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in jaccard_join.jaccard_join(df, block=8).collect()} == {
+        (i, 0 if i < 40 else i, 39 if i < 40 else 0) for i, _ in rows}
+    joined = [(df, out) for name, df, out in seen if name == "jaccard-nodes"]
+    sent = [out for name, _, out in seen if name == "jaccard-children"]
+    assert joined and len(joined) == len(sent)
+    for (df, out), nodes in zip(joined, sent, strict=True):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == 1 and "Inner" in plan and "Aggregate" not in plan
+        pairs = [(r["node"], r["rep"]) for r in nodes.collect()]
+        size = collections.Counter(node for node, _ in pairs)
+        assert collections.Counter((r["node"], r["rep"], r["n"]) for r in out.collect()) == \
+            collections.Counter((node, rep, size[node]) for node, rep in pairs if size[node] > 1)
+
+
 def test_components_with_hot_nodes(spark):
     """Stars whose centre is the smallest, a middle and the largest id, a path, and
     random edges; a star's edges are joined where they lie."""
